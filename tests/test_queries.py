@@ -1,0 +1,60 @@
+"""Every registered query against its SQL, over whole tables."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'"
+        )
+    return connection
+
+
+def _sorted(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def _plain(value):
+    if isinstance(value, float) and not math.isnan(value):
+        return float(repr(value))
+    return value
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, duck, name):
+    got = entry.queries()[name](spark, SF_DIR)
+    result = duck.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    expected = result.fetchall()
+    assert sorted(got.columns) == sorted(columns)
+    rows = got.collect()
+    assert expected, "the SQL gives no rows, so it checks nothing"
+    assert len(rows) == len(expected)
+    assert _sorted(rows, got.columns) == _sorted(expected, columns)
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["rn", "name_a", "name_b", "count", "weight"]
