@@ -1,0 +1,119 @@
+"""Manifests, file names, days, scenes and previews."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidings.functions import files as f
+from tidings.operators import files, preview, records, scenes
+from tidings.schemas import schema_of
+
+LINE = "150383 297a http://data.example.org/v2/20150218230000.export.CSV.zip"
+
+
+def one(spark, column, **values):
+    df = spark.createDataFrame([tuple(values.values())], list(values))
+    return df.select(column.alias("x")).first().x
+
+
+def test_column_lists():
+    assert [len(schema_of(k)) for k in ("gkg", "events", "mentions")] == [27, 61, 16]
+
+
+def test_manifest_line(spark):
+    lines = spark.createDataFrame([(f"  {LINE} ",), ("",), ("no address",)], ["value"])
+    row = files.parse_manifest(lines).collect()
+    assert [tuple(r) for r in row] == [(
+        150383, "297a", "http://data.example.org/v2/20150218230000.export.CSV.zip",
+        "20150218230000.export.CSV.zip", "20150218230000", "events",
+    )]
+    assert one(spark, f.line_fields("v"), v=f" {LINE}\t") == LINE.split()
+    assert one(spark, f.line_fields("v"), v="  ") == []
+
+
+def test_urls(spark):
+    text = "see ftp://a.example.org/x_y/z?q=1&r=2#t, (https://b-c.example.com) and http://nohost"
+    df = spark.createDataFrame([(text,)], ["value"])
+    assert [tuple(r) for r in files.extract_urls(df).collect()] == [
+        ("ftp://a.example.org/x_y/z?q=1&r=2#t", "z?q=1&r=2#t"),
+        ("https://b-c.example.com", "b-c.example.com"),
+    ]
+
+
+@pytest.mark.parametrize("path, dataset", [
+    ("/export/20150220183000.gkg.csv.zip", "gkg"),
+    ("20150220184500.export.CSV.zip", "events"),
+    ("a/20150220184500.mentions.CSV.zip", "mentions"),
+    ("gkg/readme.txt", "other"),
+    ("x.mentions.gkg", "gkg"),
+])
+def test_dataset_by_file_name(spark, path, dataset):
+    assert one(spark, f.dataset_of("p"), p=path) == dataset
+
+
+def test_stamps(spark):
+    assert one(spark, f.day_of("p"), p="a/20150220183000.gkg.csv.zip") == 20150220
+    assert one(spark, f.day_of("p"), p="readme.txt") is None
+    assert one(spark, f.stamp_of("p"), p="20150220.gkg") is None
+    assert one(spark, f.stamp_time("v"), v=20150220183000) == datetime(2015, 2, 20, 18, 30)
+    assert one(spark, f.stamp_time("v"), v="bad") is None
+    assert one(spark, f.day_text("d"), d=date(2017, 5, 3)) == "20170503"
+    assert one(spark, f.day_text("d"), d=date(2017, 12, 1)) == "20171201"
+
+
+def test_latest_files(spark):
+    lines = [f"1 a http://h.example.org/201502{d:02}000000.gkg.csv.zip" for d in range(1, 29)]
+    listed = files.parse_manifest(spark.createDataFrame([(x,) for x in lines], ["value"]))
+    assert [r.stamp[:8] for r in files.latest_files(listed, 3).collect()] == [
+        "20150228", "20150227", "20150226"
+    ]
+
+
+def test_only_new_files(spark):
+    incoming = spark.createDataFrame([("a", 1), ("b", 2)], ["source_file", "size"])
+    stored = spark.createDataFrame([("a", "x")] * 5, ["source_file", "row"])
+    assert [tuple(r) for r in files.only_new_files(incoming, stored).collect()] == [("b", 2)]
+
+
+def test_on_day(spark):
+    df = spark.createDataFrame([(20171201,), (20171202,)], "ds int")
+    for day in (20171201, "20171201", date(2017, 12, 1)):
+        assert [r.ds for r in records.on_day(df, day).collect()] == [20171201]
+    today = spark.range(1).select(F.date_format(F.current_date(), "yyyyMMdd").cast("int").alias("ds"))
+    assert records.on_day(today.union(df)).count() == 1
+
+
+SCENES = [
+    ("s1", -123.0, 37.0, -122.0, 38.0, date(2017, 1, 5), 5.0),
+    ("s2", -123.0, 37.0, -122.0, 38.0, date(2017, 2, 18), 1.0),
+    ("s3", -123.0, 37.0, -122.0, 38.0, date(2017, 1, 9), 2.0),
+    ("s4", 0.0, 0.0, 1.0, 1.0, date(2017, 1, 9), 0.0),
+]
+
+
+def test_scene_search(spark):
+    df = spark.createDataFrame(
+        SCENES, "scene_id string, xmin double, ymin double, xmax double, ymax double, "
+        "acquired date, cloud_cover double"
+    )
+    found = scenes.scene_search(df, -122.437, 37.72, "2017-01-01", "2017-02-18", n=5)
+    assert [r.scene_id for r in found.collect()] == ["s3", "s1"]
+
+
+def test_bands_and_composites(spark):
+    df = spark.createDataFrame([(1, [0.0, 0.15, 0.3, 0.6, -1.0])], "id int, bands array<double>")
+    assert [tuple(r) for r in scenes.scene_bands(df, "id").collect()][1] == (1, 2, 0.15)
+    shown = scenes.band_composite(df, "vegetation", "id").first()
+    assert tuple(shown) == (1, 0.0, 1.0, 1.0)
+    # No sixth band: the colour stays unknown.
+    assert scenes.band_composite(df, "agriculture").first().red is None
+
+
+def test_preview(spark):
+    df = spark.createDataFrame([(2, "b", 2.5), (1, "a", None), (3, "c", 0.0)], "k int, s string, d double")
+    shown = preview.preview(df, "k", 2)
+    assert shown.columns == ["column", "1", "2"]
+    assert {tuple(r) for r in shown.collect()} == {("s", "a", "b"), ("d", None, "2.5")}

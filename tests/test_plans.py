@@ -1,0 +1,54 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import pytest
+
+from tidings.operators import cooccurrence as cooc
+from tidings.operators import mentions
+from tidings.plans import queries, tables
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    path = f"{tmp_path}/records"
+    tables.records(spark, SF_DIR).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_pair_counts(stored):
+    text = plan(cooc.cooccurrence_counts(stored))
+    assert "EvalPython" not in text and "CartesianProduct" not in text
+    assert "SinglePartition" not in text
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<AllNames:string>" in text
+    assert "StringContains(AllNames,;)" in text
+    assert "partial_sum" in text
+
+
+def test_ranked_table_has_no_global_sort(stored):
+    text = plan(cooc.cooccurrence(stored))
+    rows, offsets = text.split("BroadcastExchange")
+    assert "SinglePartition" not in rows
+    # The one single-partition step runs over one row per written partition.
+    assert offsets.count("SinglePartition") == 1 and "partial_count" in offsets
+
+
+def test_top_k_keeps_k_rows_per_task(stored):
+    assert "TakeOrderedAndProject" in plan(cooc.cooccurrence_top(stored, 5))
+
+
+def test_mentions_read_one_column(stored):
+    text = plan(mentions.mention_counts(stored, "Persons"))
+    assert "ReadSchema: struct<Persons:string>" in text and "partial_count" in text
+
+
+@pytest.mark.parametrize("name", ["typed_events", "manifest_fields", "band_composite", "new_files"])
+def test_no_python_in_the_hot_path(spark, name):
+    text = plan(queries.QUERIES[name](spark, SF_DIR))
+    assert "Python" not in text and "MapInArrow" not in text

@@ -54,7 +54,7 @@ def name_runs(names: Column) -> Column:
             .cast("bigint").alias("n"),
         )))
 
-    return _bind(F.array_sort(names), runs)
+    return _bind(F.sort_array(names), runs)
 
 
 def register_functions(spark: SparkSession, name: str = "get_cooccurences") -> None:

@@ -43,7 +43,7 @@ def route_files(df: DataFrame, col: str = "file_name") -> DataFrame:
 def only_new_files(incoming: DataFrame, stored: DataFrame, on: str = "source_file") -> DataFrame:
     """Incoming files whose name is not stored yet.
 
-    The names on the stored side may repeat, one per stored row: an anti join
-    needs no distinct list.
+    ``stored`` may be the stored table itself, with one name per row: each task
+    reduces its rows to distinct names before anything is shuffled.
     """
-    return incoming.join(stored.select(on), on, "left_anti").select(*incoming.columns)
+    return incoming.join(stored.select(on).distinct(), on, "left_anti").select(*incoming.columns)

@@ -51,7 +51,8 @@ def scene_bands(df: DataFrame, *keep: str, col: str = "bands") -> DataFrame:
 
 def _stretch(value: Column, low: float, high: float) -> Column:
     share = (value.cast("double") - F.lit(low)) / (F.lit(high) - F.lit(low))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+    # greatest and least skip NULL, a missing band has to stay NULL.
+    return F.when(share.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
 def band_composite(

@@ -111,6 +111,17 @@ def _composite() -> str:
     )
 
 
+def _view_rows() -> str:
+    today = f"DATE >= {DAY}000000 AND DATE < {DAY + 1}000000"
+    wanted = {"records": "true", "master": "true", "multi_entity": "AllNames LIKE '%;%'"}
+    return " UNION ALL ".join(
+        f"""SELECT '{view}{suffix}' AS view, count(*) AS rows
+            FROM ({_RECORDS}) WHERE {condition} AND {days}"""
+        for view, condition in wanted.items()
+        for suffix, days in (("", "true"), ("_today", today))
+    )
+
+
 def _daily_line(result: str, counts: str) -> str:
     return f"""SELECT '{result}' AS result, count(*) AS rows,
         cast(sum(count) AS BIGINT) AS mentions FROM ({counts})"""
@@ -148,6 +159,12 @@ ORACLES = {
     "day_slice": f"""
         SELECT GKGRECORDID, DATE, AllNames, cast({DAY} AS INTEGER) AS ds FROM ({_RECORDS})
         WHERE DATE >= {DAY}000000 AND DATE < {DAY + 1}000000""",
+    "record_times": f"""
+        SELECT cast(doc_id AS VARCHAR) AS GKGRECORDID, strftime(time, '%Y%m%d') AS day,
+               strftime(time, '%Y-%m-%d %H:%M:%S') AS time
+        FROM (SELECT doc_id, TIMESTAMP '{FIRST_STAMP}' + to_minutes(15 * doc_id) AS time
+              FROM documents)""",
+    "view_rows": _view_rows(),
     "daily_report": " UNION ALL ".join([
         _daily_line("cooccurences", _pairs("AllNames") + " SELECT * FROM counts"),
         _daily_line("themes", _top("Themes")),

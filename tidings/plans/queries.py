@@ -126,6 +126,24 @@ def day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("GKGRECORDID", "DATE", "AllNames", "ds")
 
 
+def record_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    time = files.stamp_time("DATE")
+    return tables.records(spark, sf_dir).select(
+        "GKGRECORDID",
+        files.day_text(time).alias("day"),
+        F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("time"),
+    )
+
+
+def view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    datasets.register_views(spark, _stored_records(spark, sf_dir), DAY)
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{view}' AS view, count(*) AS rows FROM {view}"
+        for view in ("records", "records_today", "master", "master_today", "multi_entity",
+                     "multi_entity_today")
+    ))
+
+
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stored_records(spark, sf_dir)
     stored = run_daily(spark, root, f"{root}-results")
@@ -271,7 +289,7 @@ QUERIES = {
         cooc_weighted, cooc_counts, cooc_undirected, cooc_total, cooc_top_k, cooc_pairs,
         cooc_sql_function, multi_entity_filter, split_items, entity_names, top_themes,
         top_persons, top_organizations, top_values_raw, rank_values, master_projection,
-        day_slice, daily_report, stored_json, url_extract, manifest_fields, latest_files,
+        day_slice, record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields, latest_files,
         route_dataset, new_files, typed_records, typed_events, typed_mentions, typed_files,
         unzipped_lines, stream_ingest, preview_transpose, scene_search, scenes_found,
         scene_bands, band_composite,
