@@ -57,8 +57,8 @@ def test_multi_entity_keeps_lists_of_several(spark):
 
 
 def test_pairs_equal_plain_product(spark):
-    pairs = cooc.entity_pairs(frame(spark, EDGE), "id").collect()
-    got = Counter((r.id, r.name_a, r.name_b) for r in pairs)
+    pairs = cooc.entity_pairs(frame(spark, EDGE + [None]), "id", tile=2).collect()
+    got = {(r.id, r.name_a, r.name_b): r["count"] for r in pairs}
     expected = Counter(
         (i, a, b) for i, x in enumerate(EDGE) for a, b in itertools.product(*[names_of(x)] * 2)
     )

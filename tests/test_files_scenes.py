@@ -19,7 +19,7 @@ def one(spark, column, **values):
     return df.select(column.alias("x")).first().x
 
 
-def test_column_lists():
+def test_column_lists(spark):
     assert [len(schema_of(k)) for k in ("gkg", "events", "mentions")] == [27, 61, 16]
 
 

@@ -136,8 +136,9 @@ ORACLES = {
     "cooc_pairs": f"""
         WITH x AS ({_names("Persons")}),
         g AS (SELECT k FROM x GROUP BY k HAVING count(*) > 1)
-        SELECT cast(k AS VARCHAR) AS GKGRECORDID, a.nm AS name_a, b.nm AS name_b
-        FROM x a JOIN x b USING (k) JOIN g USING (k)""",
+        SELECT cast(k AS VARCHAR) AS GKGRECORDID, a.nm AS name_a, b.nm AS name_b,
+               count(*) AS count
+        FROM x a JOIN x b USING (k) JOIN g USING (k) GROUP BY ALL""",
     "cooc_sql_function": _pairs("Persons") + " SELECT * FROM counts",
     "multi_entity_filter": f"""
         SELECT AllNames FROM ({_RECORDS}) WHERE AllNames LIKE '%;%'""",

@@ -13,6 +13,9 @@ def build_session(app: str = "tidings", master: str | None = None, **conf) -> Sp
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
+        # A small row of names becomes thousands of pairs, so a partition is worth
+        # keeping at a size where others would be merged.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
