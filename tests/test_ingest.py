@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import json
 import os
+import shutil
 import zipfile
 
 import pytest
@@ -166,6 +167,39 @@ def test_day_is_a_partition_filter(spark, landed, tmp_path):
     assert "PartitionFilters: [isnotnull(ds" in plan
 
 
+def test_convert_files_stores_each_file_once(spark, tmp_path):
+    folder = tmp_path / "text"
+    folder.mkdir()
+    (folder / "20150220183000.gkg.csv").write_text(gkg_line("r1") + "\n" + gkg_line("r2") + "\n")
+    root = f"{tmp_path}/root"
+    for _ in range(2):
+        datasets.convert_files(spark, str(folder), root, "gkg")
+        rows = datasets.load_records(spark, root, 20150220).collect()
+        assert sorted(r.GKGRECORDID for r in rows) == ["r1", "r2"]
+    (folder / "20150221000000.gkg.csv").write_text(gkg_line("r3") + "\nshort\n")
+    datasets.convert_files(spark, str(folder), root, "gkg")
+    rows = datasets.load_records(spark, root).collect()
+    assert sorted((r.GKGRECORDID, r.ds) for r in rows) == [
+        ("r1", 20150220), ("r2", 20150220), ("r3", 20150221), ("short", 20150221)
+    ]
+    assert [r._corrupt_record for r in rows if r.GKGRECORDID == "short"] == ["short"]
+
+
+def test_flat_folder_by_day(spark, tmp_path):
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for day, key in ((20171201, "a"), (20171202, "b")):
+        part = f"{tmp_path}/{day}"
+        line = spark.createDataFrame([(gkg_line(key),)], "line string")
+        datasets.parse_lines(line, "gkg").coalesce(1).write.parquet(part)
+        [name] = [n for n in os.listdir(part) if n.endswith(".parquet")]
+        shutil.copy(f"{part}/{name}", f"{flat}/{day}000000.gkg.csv.gzip.parquet")
+    one = datasets.load_files(spark, str(flat), 20171201).collect()
+    assert [(r.GKGRECORDID, r.ds) for r in one] == [("a", 20171201)]
+    assert one[0].source_file == "20171201000000.gkg.csv.gzip.parquet"
+    assert datasets.load_files(spark, str(flat)).count() == 2
+
+
 def test_write_dataset(spark, tmp_path):
     df = spark.range(1000).select("id", (F.col("id") % 3).cast("int").alias("ds"))
     sinks.write_dataset(df, f"{tmp_path}/d")

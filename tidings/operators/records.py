@@ -25,10 +25,15 @@ def multi_entity(df: DataFrame, col: str = "AllNames") -> DataFrame:
     return df.where(F.col(col).contains(";")).select(col)
 
 
+def day_number(day: date | int | str) -> int:
+    """A day as the number ``yyyyMMdd``."""
+    return int(day.strftime("%Y%m%d") if isinstance(day, date) else day)
+
+
 def on_day(df: DataFrame, day: date | int | str | None = None, col: str = "ds") -> DataFrame:
     """Records of one day by the partition column ``yyyyMMdd``; today by default."""
     if day is None:
         wanted = F.date_format(F.current_date(), "yyyyMMdd").cast("int")
     else:
-        wanted = F.lit(int(day.strftime("%Y%m%d") if isinstance(day, date) else day))
+        wanted = F.lit(day_number(day))
     return df.where(F.col(col) == wanted)
