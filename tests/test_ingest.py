@@ -167,22 +167,20 @@ def test_day_is_a_partition_filter(spark, landed, tmp_path):
     assert "PartitionFilters: [isnotnull(ds" in plan
 
 
-def test_convert_files_stores_each_file_once(spark, tmp_path):
+def test_text_files_are_stored_once(spark, tmp_path):
     folder = tmp_path / "text"
     folder.mkdir()
     (folder / "20150220183000.gkg.csv").write_text(gkg_line("r1") + "\n" + gkg_line("r2") + "\n")
-    root = f"{tmp_path}/root"
+    (folder / "20150220183000.export.gkg.CSV").write_text(gkg_line("r3") + "\nshort\n")
+    (folder / "20150220183000.gkg.csv.zip").write_text("not taken")
     for _ in range(2):
-        datasets.convert_files(spark, str(folder), root, "gkg")
-        rows = datasets.load_records(spark, root, 20150220).collect()
-        assert sorted(r.GKGRECORDID for r in rows) == ["r1", "r2"]
-    (folder / "20150221000000.gkg.csv").write_text(gkg_line("r3") + "\nshort\n")
-    datasets.convert_files(spark, str(folder), root, "gkg")
-    rows = datasets.load_records(spark, root).collect()
-    assert sorted((r.GKGRECORDID, r.ds) for r in rows) == [
-        ("r1", 20150220), ("r2", 20150220), ("r3", 20150221), ("short", 20150221)
-    ]
+        ingest(spark, str(folder), tmp_path, zipped=False)
+        rows = records(spark, tmp_path).collect()
+        assert sorted((r.GKGRECORDID, r.ds) for r in rows) == [
+            ("r1", 20150220), ("r2", 20150220), ("r3", 20150220), ("short", 20150220)
+        ]
     assert [r._corrupt_record for r in rows if r.GKGRECORDID == "short"] == ["short"]
+    assert records(spark, tmp_path, "events").count() == 0
 
 
 def test_flat_folder_by_day(spark, tmp_path):

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidings.functions import files as f
-from tidings.operators.files import only_new_files
 from tidings.operators.records import day_number, master_view, multi_entity, on_day
 from tidings.schemas import CORRUPT, parse_schema, schema_of
-from tidings.sources.sinks import write_dataset
 
 # What ingest adds to every row.
 ORIGIN = (
@@ -21,13 +18,16 @@ ORIGIN = (
 _TEXT = {"sep": "\t", "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_dataset(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+def read_dataset(
+    spark: SparkSession, path: str | list[str], kind: str, streaming: bool = False, **options
+) -> DataFrame:
     """Tab-separated files without header, under the column list of the dataset.
 
     Every line is kept; one with too few, too many or unreadable fields is
     repeated in ``_corrupt_record``.
     """
-    return spark.read.schema(parse_schema(kind)).options(**_TEXT).csv(path)
+    reader = spark.readStream if streaming else spark.read
+    return reader.schema(parse_schema(kind)).options(**_TEXT, **options).csv(path)
 
 
 def parse_lines(df: DataFrame, kind: str, col: str = "line") -> DataFrame:
@@ -53,28 +53,6 @@ def load_files(spark: SparkSession, path: str, day=None, kind: str = "gkg") -> D
     return found.select("*", name.alias("source_file"), f.day_of(name).alias("ds"))
 
 
-def convert_files(spark: SparkSession, path: str, root: str, kind: str) -> None:
-    """Store text files as day-partitioned Parquet, leaving out files stored before.
-
-    Give it a ``root`` of its own: a folder written by a stream has a log of its
-    files, and readers do not see files that the log does not name.
-    """
-    name = F.col("_metadata.file_name")
-    rows = read_dataset(spark, path, kind).select(
-        "*",
-        F.lit(kind).alias("dataset"),
-        name.alias("source_file"),
-        F.current_timestamp().alias("ingest_time"),
-        f.day_of(name).alias("ds"),
-    )
-    try:
-        rows = only_new_files(rows, load_records(spark, root, kind=kind))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    write_dataset(rows, f"{root.rstrip('/')}/{kind}")
-
-
 def register_views(spark: SparkSession, root: str, day) -> None:
     """The record table as views for SQL, of all time and of one day."""
     for suffix, records in (("", load_records(spark, root)),

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidings.functions import files as f
-from tidings.schemas import DATASETS
+from tidings.schemas import DATASETS, parse_schema
 from tidings.sources.archives import read_archives, unzip_lines
-from tidings.sources.datasets import parse_lines
+from tidings.sources.datasets import parse_lines, read_dataset
 
 _MARK_OF = {dataset: mark for mark, dataset in f.DATASET_MARKS.items()}
 
 
-def typed_rows(archives: DataFrame, kind: str) -> DataFrame:
+def _with_origin(rows: DataFrame, kind: str, name: Column, error: Column) -> DataFrame:
+    return rows.select(
+        *parse_schema(kind).names,
+        F.lit(kind).alias("dataset"),
+        name.alias("source_file"),
+        F.current_timestamp().alias("ingest_time"),
+        error.cast("string").alias("ingest_error"),
+        F.when(error.isNull(), f.day_of(name)).alias("ds"),
+    )
+
+
+def typed_archives(archives: DataFrame, kind: str) -> DataFrame:
     """Typed rows of the archives that belong to ``kind``, with their origin.
 
     An unreadable archive or member gives one row without ``ds`` and with
@@ -22,15 +33,13 @@ def typed_rows(archives: DataFrame, kind: str) -> DataFrame:
     """
     wanted = archives.where(f.dataset_of("path") == kind)
     rows = parse_lines(unzip_lines(wanted), kind)
-    readable = F.col("error").isNull()
-    return rows.select(
-        *[c for c in rows.columns if c not in ("path", "member", "line_no", "error")],
-        F.lit(kind).alias("dataset"),
-        f.base_name("path").alias("source_file"),
-        F.current_timestamp().alias("ingest_time"),
-        F.col("error").alias("ingest_error"),
-        F.when(readable, f.day_of("path")).alias("ds"),
-    )
+    return _with_origin(rows, kind, f.base_name("path"), F.col("error"))
+
+
+def typed_texts(rows: DataFrame, kind: str) -> DataFrame:
+    """The same for rows of ``read_dataset``."""
+    name = F.col("_metadata.file_name")
+    return _with_origin(rows.where(f.dataset_of(name) == kind), kind, name, F.lit(None))
 
 
 def start_ingest(
@@ -39,19 +48,24 @@ def start_ingest(
     root: str,
     checkpoint: str,
     datasets: tuple[str, ...] = tuple(DATASETS),
+    zipped: bool = True,
     every: str | None = None,
     files_per_batch: int = 1000,
     max_file_age: str = "7d",
     clean: str = "off",
     clean_to: str | None = None,
 ) -> dict[str, StreamingQuery]:
-    """One query per dataset, from zipped files in ``source`` to ``root/<dataset>``.
+    """One query per dataset, from files in ``source`` to gzip Parquet in ``root/<dataset>``.
+
+    The files are zip archives, or with ``zipped=False`` the ``.csv`` files that
+    archives hold. Each file is taken once, by its name without the folder,
+    however often the queries are restarted. ``every`` is the time between
+    batches (for example ``"60 seconds"``); without it the queries take what is
+    there and end. ``clean`` is ``off``, ``archive`` (to ``clean_to``) or
+    ``delete``, for files that have been processed. ``files_per_batch`` bounds a
+    batch after a pause.
 
-    Each file is taken once, by its name without the folder, however often the
-    queries are restarted. ``every`` is the time between batches (for example
-    ``"60 seconds"``); without it the queries take what is there and end.
-    ``clean`` is ``off``, ``archive`` (to ``clean_to``) or ``delete``, for files
-    that have been processed. ``files_per_batch`` bounds a batch after a pause.
+    The stored folder has a log of its files: nothing else may write there.
     """
     options = {
         "fileNameOnly": "true",
@@ -65,12 +79,18 @@ def start_ingest(
 
     queries = {}
     for kind in datasets:
-        archives = read_archives(
-            spark, source, f"*{_MARK_OF[kind]}*.zip", streaming=True, **options
-        )
+        mark = _MARK_OF[kind]
+        if zipped:
+            archives = read_archives(spark, source, f"*{mark}*.zip", streaming=True, **options)
+            rows = typed_archives(archives, kind)
+        else:
+            glob = f"*{mark}*.[cC][sS][vV]"
+            texts = read_dataset(
+                spark, source, kind, streaming=True, pathGlobFilter=glob, **options
+            )
+            rows = typed_texts(texts, kind)
         queries[kind] = (
-            typed_rows(archives, kind)
-            .writeStream.queryName(f"ingest-{kind}")
+            rows.writeStream.queryName(f"ingest-{kind}")
             .format("parquet")
             .option("path", f"{root.rstrip('/')}/{kind}")
             .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{kind}")
