@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidings.functions import files as f
 from tidings.operators import files, preview, records, scenes
+from tidings.plans.oracles import URL_BY_LABELS
 from tidings.schemas import schema_of
 
 LINE = "150383 297a http://data.example.org/v2/20150218230000.export.CSV.zip"
@@ -43,6 +47,20 @@ def test_urls(spark):
     ]
 
 
+@given(st.lists(st.sampled_from(["http", "https", "ftp", "://", ":", "/", ".", "..", ",", "a", "b_c",
+                                 "-", " ", "?q=1", "#", "é", "()", "@"]), max_size=25).map("".join))
+@settings(max_examples=2000, deadline=None)
+def test_url_pattern_matches_like_labels(text):
+    expected = ["".join(groups) for groups in re.findall(URL_BY_LABELS, text, re.ASCII)]
+    assert re.findall(f.URL_PATTERN, text, re.ASCII) == expected
+
+
+def test_long_host(spark):
+    url = "http://" + "a." * 50_000 + "org/x"
+    df = spark.createDataFrame([(f"see {url}. Next",)], ["value"])
+    assert [r.url for r in files.extract_urls(df).collect()] == [url]
+
+
 @pytest.mark.parametrize("path, dataset", [
     ("/export/20150220183000.gkg.csv.zip", "gkg"),
     ("20150220184500.export.CSV.zip", "events"),

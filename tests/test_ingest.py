@@ -6,9 +6,12 @@ import io
 import json
 import os
 import shutil
+import subprocess
+import sys
 import zipfile
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tidings.plans.daily import run_daily
@@ -241,3 +244,26 @@ def test_archive_bytes_are_read_in_place():
 
     rows = list(archives._archive_lines("p", pa.py_buffer(data.getvalue())))
     assert rows == [("p", "folder/x", 1, "one", None), ("p", "folder/x", 2, "two", None)]
+
+
+def test_executors_need_no_package(tmp_path):
+    """The unzip function loads and works where this package cannot be imported."""
+    path = zipped(str(tmp_path), "a.zip", "one\ntwo\n")
+    function = tmp_path / "function"
+    function.write_bytes(cloudpickle.dumps(archives._unzip))
+    program = f"""
+import pickle, pyarrow as pa
+unzip = pickle.load(open({str(function)!r}, "rb"))
+content = open({path!r}, "rb").read()
+batch = pa.RecordBatch.from_pydict({{"path": ["a.zip"], "content": [content]}})
+[lines] = list(unzip(iter([batch])))
+assert lines.column("line").to_pylist() == ["one", "two"]
+try:
+    import tidings
+except ImportError:
+    print("done")
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert done.stdout.strip() == "done"

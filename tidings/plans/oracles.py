@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from tidings.functions.files import MANIFEST_URL_PATTERN, URL_PATTERN
+from tidings.functions.files import MANIFEST_URL_PATTERN
 from tidings.operators.scenes import COMBINATIONS, DISPLAY_MAX
 from tidings.plans.queries import DAY, DAYS, LATEST, POINT, TOP
 from tidings.plans.tables import FIRST_STAMP, PATTERNS
 
+# Fixed value: addresses as a host of dot-separated labels and an optional rest.
+URL_BY_LABELS = (
+    r"(http|ftp|https)(://)([\w_-]+(?:(?:\.[\w_-]+)+))"
+    r"([\w.,@?^=%&:/~+#-]*[\w@?^=%&/~+#-])?"
+)
+
 
 def _found(column: str) -> str:
     pattern, group = PATTERNS[column]
@@ -175,7 +181,7 @@ ORACLES = {
     "stored_json": _top("Organizations"),
     "url_extract": f"""
         SELECT url, split_part(url, '/', -1) AS file_name
-        FROM (SELECT unnest(regexp_extract_all(url || ' ' || html, '{URL_PATTERN}', 0)) AS url
+        FROM (SELECT unnest(regexp_extract_all(url || ' ' || html, '{URL_BY_LABELS}', 0)) AS url
               FROM pages)""",
     "manifest_fields": f"""
         SELECT user_id + 1000 AS size, md5(cast(event_id AS VARCHAR)) AS checksum,
