@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.functions.columns import as_column
+
 # Fixed values: ";" separates items, "," separates a name from its trailing fields.
 ITEM_SEPARATOR = ";"
 FIELD_SEPARATOR = ","
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def split_items(c: str | Column) -> Column:
     """Items of the list, empty ones included."""
-    return F.split(_col(c), ITEM_SEPARATOR)
+    return F.split(as_column(c), ITEM_SEPARATOR)
 
 
 def item_count(c: str | Column) -> Column:
     """How many items ``split_items`` gives, without building the array."""
-    c = _col(c)
+    c = as_column(c)
     return F.length(c) - F.length(F.replace(c, F.lit(ITEM_SEPARATOR), F.lit(""))) + 1
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidings.functions.columns import as_column
+
 # Address patterns, and the marks by which file names tell the dataset.
 # The first asks for two labels of a host and lets the rest run on: the same matches
 # as a repeated label, whose nested loop overflows Java's stack on a long host.
@@ -16,13 +18,9 @@ DATASET_MARKS = {"gkg": "gkg", "export": "events", "mentions": "mentions"}
 OTHER = "other"
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def base_name(c: str | Column) -> Column:
     """Part of a path or address after its last slash."""
-    return F.substring_index(_col(c), "/", -1)
+    return F.substring_index(as_column(c), "/", -1)
 
 
 def dataset_of(name: str | Column) -> Column:
@@ -47,25 +45,25 @@ def day_of(name: str | Column) -> Column:
 
 def day_text(c: str | Column) -> Column:
     """Date or timestamp as ``yyyyMMdd``."""
-    return F.date_format(_col(c), "yyyyMMdd")
+    return F.date_format(as_column(c), "yyyyMMdd")
 
 
 def stamp_time(c: str | Column) -> Column:
     """Time of a ``yyyyMMddHHmmss`` number or text; NULL for anything else."""
-    return F.try_to_timestamp(_col(c).cast("string"), F.lit("yyyyMMddHHmmss"))
+    return F.try_to_timestamp(as_column(c).cast("string"), F.lit("yyyyMMddHHmmss"))
 
 
 def urls_in(c: str | Column) -> Column:
     """All http, https and ftp addresses in a text."""
-    return F.regexp_extract_all(_col(c), F.lit(URL_PATTERN), F.lit(0))
+    return F.regexp_extract_all(as_column(c), F.lit(URL_PATTERN), F.lit(0))
 
 
 def manifest_urls_in(c: str | Column) -> Column:
     """All http and https addresses in a manifest line, up to the next blank."""
-    return F.regexp_extract_all(_col(c), F.lit(MANIFEST_URL_PATTERN), F.lit(1))
+    return F.regexp_extract_all(as_column(c), F.lit(MANIFEST_URL_PATTERN), F.lit(1))
 
 
 def line_fields(c: str | Column) -> Column:
     """Blank-separated fields of a line; no fields for a blank line."""
-    fields = F.split(F.regexp_replace(_col(c), r"^\s+|\s+$", ""), r"\s+")
+    fields = F.split(F.regexp_replace(as_column(c), r"^\s+|\s+$", ""), r"\s+")
     return F.filter(fields, lambda x: x != "")
