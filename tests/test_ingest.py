@@ -220,9 +220,35 @@ def test_write_result(spark, tmp_path):
             sinks.write_result(df, str(tmp_path), "people", bad)
 
 
-def test_table_options():
-    options = sinks.table_options("jdbc:x", "themes", numPartitions=4)
-    assert options == {"url": "jdbc:x", "dbtable": "themes", "truncate": "true", "numPartitions": "4"}
+class Writer:
+    """Keeps what a DataFrame writer is told; no database is involved."""
+
+    def __init__(self):
+        self.write, self.told = self, {}
+
+    def format(self, name):
+        self.told["format"] = name
+        return self
+
+    def options(self, **options):
+        self.told |= options
+        return self
+
+    def mode(self, name):
+        self.told["mode"] = name
+        return self
+
+    def save(self):
+        self.told["saved"] = True
+
+
+def test_write_table_options():
+    df = Writer()
+    sinks.write_table(df, "jdbc:x", "themes", user="u", password="p", numPartitions=4)
+    assert df.told == {
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "themes", "truncate": "true", "user": "u",
+        "password": "p", "numPartitions": "4", "mode": "overwrite", "saved": True,
+    }
 
 
 def test_run_daily(spark, landed, tmp_path):

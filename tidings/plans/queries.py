@@ -289,9 +289,9 @@ QUERIES = {
         cooc_weighted, cooc_counts, cooc_undirected, cooc_total, cooc_top_k, cooc_pairs,
         cooc_sql_function, multi_entity_filter, split_items, entity_names, top_themes,
         top_persons, top_organizations, top_values_raw, rank_values, master_projection,
-        day_slice, record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields, latest_files,
-        route_dataset, new_files, typed_records, typed_events, typed_mentions, typed_files,
-        unzipped_lines, stream_ingest, preview_transpose, scene_search, scenes_found,
-        scene_bands, band_composite,
+        day_slice, record_times, view_rows, daily_report, stored_json, url_extract,
+        manifest_fields, latest_files, route_dataset, new_files, typed_records, typed_events,
+        typed_mentions, typed_files, unzipped_lines, stream_ingest, preview_transpose,
+        scene_search, scenes_found, scene_bands, band_composite,
     )
 }
