@@ -8,6 +8,7 @@ import os
 import shutil
 import subprocess
 import sys
+import time
 import zipfile
 
 import pytest
@@ -152,6 +153,22 @@ def test_ingest_on_a_timer(spark, landed, tmp_path):
         query.stop()
 
 
+def test_ingest_stopped_in_between(spark, tmp_path):
+    landed = f"{tmp_path}/landed"
+    names = [f"r{n:02}" for n in range(12)]
+    for n, key in enumerate(names):
+        zipped(landed, f"201502{n + 1:02}000000.gkg.csv.zip", gkg_line(key))
+    for _ in range(3):
+        running = start_ingest(
+            spark, landed, f"{tmp_path}/stored", f"{tmp_path}/progress",
+            datasets=("gkg",), every="0 seconds", files_per_batch=1,
+        )
+        time.sleep(1.5)
+        running["gkg"].stop()
+    ingest(spark, landed, tmp_path, datasets=("gkg",))
+    assert keys(spark, tmp_path) == names
+
+
 def test_ingest_moves_processed_archives(spark, landed, tmp_path):
     moved = f"{tmp_path}/moved"
     for n in range(3):

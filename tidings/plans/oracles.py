@@ -27,17 +27,25 @@ def _names(column: str) -> str:
     FROM (SELECT doc_id, {_found(column)} AS found FROM documents)"""
 
 
-def _pairs(column: str, having: str = "") -> str:
+def _pairs(column: str) -> str:
     """CTEs ending in ``counts(name_a, name_b, count)`` over multi-entity records."""
+    return _pairs_of(_names(column), at_least=2)
+
+
+def _pairs_of(names: str, at_least: int) -> str:
     return f"""
-    WITH x AS ({_names(column)}),
-    g AS (SELECT k FROM x GROUP BY k HAVING count(*) > 1),
+    WITH x AS ({names}),
+    g AS (SELECT k FROM x GROUP BY k HAVING count(*) >= {at_least}),
     m AS (SELECT k, nm, count(*) AS n FROM x JOIN g USING (k) GROUP BY k, nm),
     counts AS (
         SELECT a.nm AS name_a, b.nm AS name_b, cast(sum(a.n * b.n) AS BIGINT) AS count
         FROM m a JOIN m b USING (k) GROUP BY a.nm, b.nm)"""
 
 
+_THEMES = f"SELECT k, upper(nm) AS nm FROM ({_names('Themes')})"
+# The separator that closes a list makes one more item of it.
+_THEMES_CLOSED = f"{_THEMES} UNION ALL SELECT DISTINCT k, '' FROM ({_names('Themes')})"
+
 _WEIGHTED = """
     SELECT row_number() OVER (ORDER BY count DESC, name_a, name_b) AS rn, name_a, name_b, count,
            cast(count AS DOUBLE) / cast(sum(count) OVER () AS DOUBLE) AS weight
@@ -137,6 +145,9 @@ ORACLES = {
     "cooc_weighted": _pairs("AllNames") + _WEIGHTED,
     "cooc_counts": _pairs("AllNames") + " SELECT * FROM counts",
     "cooc_undirected": _pairs("AllNames") + " SELECT * FROM counts WHERE name_a < name_b",
+    "cooc_themes": _pairs_of(_THEMES_CLOSED, at_least=2) + " SELECT * FROM counts",
+    # A closed list of one name passes as a list of several.
+    "cooc_themes_named": _pairs_of(_THEMES, at_least=1) + " SELECT * FROM counts",
     "cooc_total": _pairs("AllNames") + " SELECT cast(sum(count) AS BIGINT) AS total FROM counts",
     "cooc_top_k": _pairs("AllNames") + f" SELECT * FROM ({_WEIGHTED}) WHERE rn <= {TOP}",
     "cooc_pairs": f"""
@@ -156,6 +167,9 @@ ORACLES = {
     "top_themes": _top("Themes", "upper(nm)"),
     "top_persons": _top("Persons"),
     "top_organizations": _top("Organizations"),
+    "top_locations": _top("Locations"),
+    "themes_with_empty": f"""
+        SELECT nm AS Themes, count(*) AS count FROM ({_THEMES_CLOSED}) GROUP BY nm""",
     "top_values_raw": f"""
         SELECT Organizations, count(*) AS count FROM ({_RECORDS}) GROUP BY Organizations""",
     "rank_values": """

@@ -43,6 +43,14 @@ def cooc_undirected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cooc_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cooc.cooccurrence_counts(tables.records(spark, sf_dir), "Themes")
+
+
+def cooc_themes_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cooc.cooccurrence_counts(tables.records(spark, sf_dir), "Themes", drop_empty=True)
+
+
 def cooc_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cooc.total_pairs(tables.records(spark, sf_dir))
 
@@ -98,6 +106,14 @@ def top_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.top_mentions(tables.records(spark, sf_dir), "Organizations")
 
 
+def top_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.top_mentions(tables.records(spark, sf_dir), "Locations")
+
+
+def themes_with_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.top_mentions(tables.records(spark, sf_dir), "Themes", drop_empty=False)
+
+
 def top_values_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.top_mentions(tables.records(spark, sf_dir), "Organizations", exploded=False)
 
@@ -286,12 +302,13 @@ def band_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     q.__name__: q
     for q in (
-        cooc_weighted, cooc_counts, cooc_undirected, cooc_total, cooc_top_k, cooc_pairs,
-        cooc_sql_function, multi_entity_filter, split_items, entity_names, top_themes,
-        top_persons, top_organizations, top_values_raw, rank_values, master_projection,
-        day_slice, record_times, view_rows, daily_report, stored_json, url_extract,
-        manifest_fields, latest_files, route_dataset, new_files, typed_records, typed_events,
-        typed_mentions, typed_files, unzipped_lines, stream_ingest, preview_transpose,
-        scene_search, scenes_found, scene_bands, band_composite,
+        cooc_weighted, cooc_counts, cooc_undirected, cooc_themes, cooc_themes_named, cooc_total,
+        cooc_top_k, cooc_pairs, cooc_sql_function, multi_entity_filter, split_items,
+        entity_names, top_themes, top_persons, top_organizations, top_locations,
+        themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
+        record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields,
+        latest_files, route_dataset, new_files, typed_records, typed_events, typed_mentions,
+        typed_files, unzipped_lines, stream_ingest, preview_transpose, scene_search,
+        scenes_found, scene_bands, band_composite,
     )
 }
