@@ -55,18 +55,26 @@ def name_runs(names: Column) -> Column:
     return _bind(F.sort_array(names), runs)
 
 
-def register_functions(spark: SparkSession, name: str = "get_cooccurences") -> None:
-    """Make the pair list callable from SQL: names string -> array of [name, name].
-
-    The array holds the square of the number of names, so use it on short
-    lists; ``operators.cooccurrence`` counts pairs without building it.
+def register_functions(
+    spark: SparkSession, pairs: str = "get_cooccurences", names: str = "entity_names"
+) -> None:
+    """Two functions for SQL on a names string.
+
+    ``pairs`` gives the array of ``[name, name]`` pairs. It holds the square of
+    the number of names in one value, so it is for short lists. ``names`` gives
+    the array of names; two ``LATERAL VIEW explode`` of it yield the same pairs
+    as rows, and ``operators.cooccurrence`` counts pairs without these rows.
     """
-    # Fixed value: the default name, as existing SQL text calls it.
+    # Fixed value: the default for ``pairs``, as existing SQL text calls it.
+    name_of = f"substring_index(x, '{FIELD_SEPARATOR}', 1)"
+    array = f"transform(split(list, '{ITEM_SEPARATOR}'), x -> {name_of})"
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {names}(list STRING)
+        RETURNS ARRAY<STRING> RETURN {array}
+    """)
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {name}(names STRING)
+        CREATE OR REPLACE TEMPORARY FUNCTION {pairs}(list STRING)
         RETURNS ARRAY<ARRAY<STRING>>
         RETURN flatten(transform(
-            transform(array(split(names, '{ITEM_SEPARATOR}')),
-                      items -> transform(items, x -> substring_index(x, '{FIELD_SEPARATOR}', 1))),
-            n -> flatten(transform(n, a -> transform(n, b -> array(a, b))))))
+            array({array}), n -> flatten(transform(n, a -> transform(n, b -> array(a, b))))))
     """)

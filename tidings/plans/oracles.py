@@ -157,6 +157,7 @@ ORACLES = {
                count(*) AS count
         FROM x a JOIN x b USING (k) JOIN g USING (k) GROUP BY ALL""",
     "cooc_sql_function": _pairs("Persons") + " SELECT * FROM counts",
+    "cooc_sql_names": _pairs("Persons") + " SELECT * FROM counts",
     "multi_entity_filter": f"""
         SELECT AllNames FROM ({_RECORDS}) WHERE AllNames LIKE '%;%'""",
     "split_items": f"""

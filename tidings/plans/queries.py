@@ -78,6 +78,21 @@ def cooc_sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cooc_sql_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities.register_functions(spark)
+    found = tables.records(spark, sf_dir)
+    return spark.sql(
+        """
+        SELECT name_a, name_b, count(*) AS count
+        FROM (SELECT entity_names(Persons) AS names FROM {found} WHERE Persons LIKE '%;%')
+        LATERAL VIEW explode(names) a AS name_a
+        LATERAL VIEW explode(names) b AS name_b
+        GROUP BY name_a, name_b
+        """,
+        found=found,
+    )
+
+
 # Items, mentions, ranks ------------------------------------------------------
 
 def multi_entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +318,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         cooc_weighted, cooc_counts, cooc_undirected, cooc_themes, cooc_themes_named, cooc_total,
-        cooc_top_k, cooc_pairs, cooc_sql_function, multi_entity_filter, split_items,
+        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, multi_entity_filter, split_items,
         entity_names, top_themes, top_persons, top_organizations, top_locations,
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
         record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields,
