@@ -44,8 +44,9 @@ def main() -> None:
 
     # Starts the JVM's compiler and the Python workers; not counted.
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    for name in ("cooc_weighted", "unzipped_lines"):
-        run(name, small if os.path.isdir(small) else sf_dir)
+    if os.path.isdir(small):
+        for name in names:
+            run(name, small)
 
     seconds = {name: round(run(name, sf_dir), 3) for name in names}
     print(json.dumps({

@@ -29,7 +29,7 @@ def entity_names(c: str | Column, drop_empty: bool = False) -> Column:
     return F.filter(names, lambda x: x != "") if drop_empty else names
 
 
-def _bind(value: Column, body) -> Column:
+def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once.
 
     A lambda variable cannot be replaced by its definition when the optimizer
@@ -46,13 +46,13 @@ def name_runs(names: Column) -> Column:
         heads = F.filter(
             at, lambda e, i: (i == 0) | (F.get(ordered, i - 1) != e["name"])
         )
-        return _bind(heads, lambda h: F.transform(h, lambda e, i: F.struct(
+        return bind(heads, lambda h: F.transform(h, lambda e, i: F.struct(
             e["name"].alias("name"),
             (F.coalesce(F.get(h, i + 1)["at"], F.size(ordered)) - e["at"])
             .cast("bigint").alias("n"),
         )))
 
-    return _bind(F.sort_array(names), runs)
+    return bind(F.sort_array(names), runs)
 
 
 def register_functions(

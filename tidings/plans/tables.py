@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.functions.entities import bind
 from tidings.functions.files import DATASET_MARKS
 from tidings.schemas import schema_of
 
@@ -42,8 +43,9 @@ def _found(column: str) -> Column:
     return F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
 
 
-def _joined(items: Column) -> Column:
-    return F.nullif(F.concat_ws(";", items), F.lit(""))
+def _joined(items: Column, separator: str = ";") -> Column:
+    """The items as one string, NULL without any; the patterns run once for both."""
+    return bind(F.concat_ws(separator, items), lambda text: F.when(text != "", text))
 
 
 def _stamp(time: Column) -> Column:
@@ -65,7 +67,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(_found("Persons")).alias("Persons"),
         _joined(_found("Organizations")).alias("Organizations"),
         # Closed by a separator, as lists of this column are.
-        F.nullif(F.concat_ws("", themes), F.lit("")).alias("Themes"),
+        _joined(themes, "").alias("Themes"),
         _joined(_found("Locations")).alias("Locations"),
     )
 
