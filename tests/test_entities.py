@@ -134,7 +134,23 @@ def test_pair_array_view(spark):
     }
 
 
-def test_rank_equals_global_window(spark):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["1", "8", "50"])
+def test_rank_equals_global_window(spark, partitions, adaptive):
+    before = {k: spark.conf.get(k) for k in (SHUFFLE, ADAPTIVE)}
+    spark.conf.set(SHUFFLE, partitions)
+    spark.conf.set(ADAPTIVE, adaptive)
+    try:
+        check_rank(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+SHUFFLE, ADAPTIVE = "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"
+
+
+def check_rank(spark):
     df = spark.range(5000).select(
         F.pmod(F.xxhash64("id"), F.lit(7)).alias("count"), F.col("id").cast("string").alias("key")
     )
