@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidings.operators import cooccurrence as cooc
 from tidings.operators import mentions
 from tidings.plans import queries, tables
+from tidings.sources import archives, sinks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,3 +54,29 @@ def test_mentions_read_one_column(stored):
 def test_no_python_in_the_hot_path(spark, name):
     text = plan(queries.QUERIES[name](spark, SF_DIR))
     assert "Python" not in text and "MapInArrow" not in text
+
+
+def test_listing_archives_reads_no_content(spark, tmp_path):
+    (tmp_path / "20150220183000.gkg.csv.zip").write_bytes(b"x")
+    text = plan(archives.list_archives(spark, str(tmp_path)))
+    assert "ReadSchema: struct<path:string" in text and "content:binary" not in text
+
+
+def test_a_day_is_gathered_before_it_is_written(spark, tmp_path):
+    """A hot day is split over tasks, days hashed elsewhere get one file each."""
+    days = F.when(F.col("id") % 3 == 0, F.col("id") % 30).otherwise(1).cast("int")
+    text = F.sha2(F.col("id").cast("string"), 256).alias("text")
+    df = spark.range(0, 300_000, 1, 8).select("id", text, days.alias("ds"))
+    before = spark.conf.get(ADVISORY)
+    spark.conf.set(ADVISORY, "4m")
+    try:
+        sinks.write_dataset(df, f"{tmp_path}/d")
+    finally:
+        spark.conf.set(ADVISORY, before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "d").glob("ds=*")}
+    assert files["ds=1"] > 2
+    assert sum(n == 1 for n in files.values()) > len(files) / 2
+    assert spark.read.parquet(f"{tmp_path}/d").count() == 300_000
+
+
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
