@@ -18,8 +18,8 @@ HEADLINE = [
     "cooc_weighted", "cooc_counts", "cooc_total", "cooc_top_k", "cooc_pairs",
     "cooc_sql_function", "split_items", "entity_names", "top_themes", "top_persons",
     "top_organizations", "top_values_raw", "rank_values", "master_projection", "day_slice",
-    "record_times", "daily_report", "url_extract", "manifest_fields", "latest_files", "route_dataset",
-    "new_files", "typed_records", "typed_events", "typed_mentions", "unzipped_lines",
+    "record_times", "daily_report", "url_extract", "manifest_fields", "latest_files",
+    "route_dataset", "new_files", "typed_records", "typed_events", "typed_mentions", "unzipped_lines",
     "stream_ingest", "preview_transpose", "scene_search", "scene_bands", "band_composite",
 ]
 

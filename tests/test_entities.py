@@ -20,7 +20,7 @@ EDGE = ["Smith, John,5;B,2", ";;", ";", "A;B", " A,1;a,2", "é,1;日本,2", "X,1
 
 
 def frame(spark, lists):
-    return spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id bigint, AllNames string")
+    return spark.createDataFrame(list(enumerate(lists)), "id bigint, AllNames string")
 
 
 def names_of(text):
@@ -172,5 +172,5 @@ def test_mentions_of_items(spark):
 
 def test_mentions_of_whole_strings(spark):
     df = spark.createDataFrame([(t,) for t in THEMES], "Themes string")
-    got = {r.Themes: r["count"] for r in mentions.top_mentions(df, "Themes", exploded=False).collect()}
-    assert got == {"A;B": 2, "B": 1, "A;": 1, None: 1}
+    rows = mentions.top_mentions(df, "Themes", exploded=False).collect()
+    assert {r.Themes: r["count"] for r in rows} == {"A;B": 2, "B": 1, "A;": 1, None: 1}

@@ -99,8 +99,9 @@ def test_typed_lines_and_files_agree(spark, tmp_path):
         gkg_line("r1", 'a "lone quote'), gkg_line("r2", "back\\slash;\\\"x"),
         "short", gkg_line("r3") + "\textra", gkg_line("r4", DATE="no number"),
     ]
-    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(f"{tmp_path}/t")
-    parsed = datasets.parse_lines(spark.createDataFrame([(x,) for x in lines], "line string"), "gkg")
+    text = spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1)
+    text.write.text(f"{tmp_path}/t")
+    parsed = datasets.parse_lines(text, "gkg")
     scanned = datasets.read_dataset(spark, f"{tmp_path}/t", "gkg")
     assert parsed.collect() == scanned.select(*parsed.columns).collect()
     rows = parsed.collect()
@@ -273,9 +274,9 @@ def test_run_daily(spark, landed, tmp_path):
     stored = run_daily(spark, f"{tmp_path}/stored", f"{tmp_path}/out", 20150220, run_ts="t1")
     pairs = {(r.name_a, r.name_b): (r["count"], r.weight) for r in stored["cooccurences"].collect()}
     assert pairs == {(a, b): (2, 0.25) for a in "AB" for b in "AB"}
-    assert sorted(os.listdir(f"{tmp_path}/out")) == sorted(
-        f"{n}{s}" for n in ("cooccurences", "themes", "people", "organizations") for s in ("", "_json")
-    )
+    names = ("cooccurences", "themes", "people", "organizations")
+    folders = [f"{name}{suffix}" for name in names for suffix in ("", "_json")]
+    assert sorted(os.listdir(f"{tmp_path}/out")) == sorted(folders)
 
 
 def test_archive_bytes_are_read_in_place():

@@ -39,7 +39,8 @@ def test_own_folder_for_a_local_master():
 
 
 def test_stage_reads_back_what_was_written(spark):
-    df = spark.createDataFrame([(1, ["a"], None), (2, None, 0.5)], "i int, a array<string>, d double")
+    rows = [(1, ["a"], None), (2, None, 0.5)]
+    df = spark.createDataFrame(rows, "i int, a array<string>, d double")
     staged = session.stage(df, "x")
     assert staged.schema == df.schema and sorted(staged.collect()) == sorted(df.collect())
     folder = session.work_folder(spark).removeprefix("file:")
