@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidings.plans.oracles import ORACLES
+from tidings.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -44,10 +46,12 @@ def _plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     got = entry.queries()[name](spark, SF_DIR)
     result = duck.execute(entry.oracle_sql()[name])
