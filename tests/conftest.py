@@ -6,13 +6,15 @@ from tidings.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -12,15 +13,17 @@ from tidings import session
 class Settings:
     """Stands for a session: its settings, its master and its checkpoint folder."""
 
-    def __init__(self, master, conf=None, folder=None):
-        values = {"spark.checkpoint.dir": conf} if conf else {}
-        self.conf = SimpleNamespace(get=values.get)
-        self.sparkContext = SimpleNamespace(
-            master=master,
-            getCheckpointDir=lambda: self.folder,
-            setCheckpointDir=lambda x: setattr(self, "folder", x),
-        )
-        self.folder = folder
+    def __init__(self, master, conf=None, folder=None, warehouse="hdfs:///warehouse"):
+        values = {"spark.checkpoint.dir": conf, "spark.sql.warehouse.dir": warehouse}
+        self.conf = SimpleNamespace(get=lambda key, default=None: values[key] or default)
+        self.sparkContext = SimpleNamespace(master=master, getCheckpointDir=lambda: folder)
+
+
+@pytest.fixture(autouse=True)
+def stores(monkeypatch):
+    def scheme(spark, folder):
+        return folder.split(":")[0] if ":" in folder else "file"
+    monkeypatch.setattr(session, "store_of", scheme)
 
 
 def test_the_cluster_names_the_folder():
@@ -28,14 +31,18 @@ def test_the_cluster_names_the_folder():
     assert session.work_folder(Settings("yarn", folder="hdfs:///set/x")) == "hdfs:///set/x"
 
 
-def test_no_local_folder_on_a_cluster():
+def test_without_a_setting_the_warehouse_is_used():
+    assert session.work_folder(Settings("yarn", warehouse="hdfs:///w/")) == "hdfs:///w/.work"
+
+
+@pytest.mark.parametrize("conf", ["file:/tmp/x", "/tmp/x", None])
+def test_no_local_folder_on_a_cluster(conf):
     with pytest.raises(ValueError):
-        session.work_folder(Settings("spark://host:7077"))
+        session.work_folder(Settings("spark://host:7077", conf=conf, warehouse="file:/tmp/w"))
 
 
-def test_own_folder_for_a_local_master():
-    local = Settings("local[8]")
-    assert session.work_folder(local) == session.work_folder(local) == local.folder
+def test_a_local_master_may_use_its_own_disk():
+    assert session.work_folder(Settings("local[8]", conf="/tmp/x")) == "/tmp/x"
 
 
 def test_stage_reads_back_what_was_written(spark):
@@ -45,3 +52,12 @@ def test_stage_reads_back_what_was_written(spark):
     assert staged.schema == df.schema and sorted(staged.collect()) == sorted(df.collect())
     folder = session.work_folder(spark).removeprefix("file:")
     assert all(folder in path for path in staged.inputFiles())
+
+
+def test_a_dropped_table_leaves_nothing(spark):
+    staged = session.stage(spark.range(5).selectExpr("id", "id % 2 AS half"), "y", partition_by=("half",))
+    assert staged.where("half = 1").count() == 2
+    folder = Path(staged.staged_path.removeprefix("file:"))
+    assert folder.exists()
+    session.drop_staged(staged)
+    assert not folder.exists()

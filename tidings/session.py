@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,27 +27,43 @@ def build_session(app: str = "tidings", master: str | None = None, **conf) -> Sp
 def work_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` decides, or the checkpoint folder the application
-    has set. A folder of our own is made only for a local master, where the one
-    machine sees everything.
+    ``spark.checkpoint.dir`` decides, or the checkpoint folder the application has set; without
+    them the configured warehouse, which is shared as well. A folder of one machine is refused
+    unless the master is local, where the one machine sees everything.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-"))
-        folder = context.getCheckpointDir()
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.work"
+    )
+    if store_of(spark, folder) == "file" and not context.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder shared by the cluster, not {folder}")
     return folder
 
 
+def _path(spark: SparkSession, folder: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(folder)
+
+
+def store_of(spark: SparkSession, folder: str) -> str:
+    """The scheme of the store that holds a folder, with the cluster's default for none."""
+    return _path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the work folder, grouped by application."""
     app = spark.sparkContext.applicationId
     return f"{work_folder(spark).rstrip('/')}/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store Spark can reach."""
+    found = _path(spark, path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the work folder and return it read back.
 
     Cuts the lineage: what follows survives the loss of executors without
@@ -56,5 +71,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        drop_path(table.sparkSession, table.staged_path)
