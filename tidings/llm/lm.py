@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm import textops as t
-from tidings.session import drop_staged, stage
+from tidings.session import drop_path, drop_staged, stage
 
 # Text bytes of one chunk and of one range of hashes.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 14 << 20
 RANGE_BYTES = 16 << 20
 # Steps of an octave in which deleted probabilities are told apart for the weights, and rounds.
 STEPS = 4
@@ -70,9 +70,11 @@ def pair_hashes(tokens: np.ndarray) -> np.ndarray:
     return t.mix(before * _ODD + tokens)
 
 
-def _chunk_rows(chunk: int, texts: list[tuple], ranges: int) -> Iterator[tuple]:
+def _chunk_rows(chunk: int, texts: list[list], ranges: int) -> Iterator[tuple]:
     """The rows of one chunk from ``(ids, held, sizes, tokens)`` of its slabs."""
-    tokens = np.concatenate([x[3] for x in texts])
+    tokens, lengths = np.concatenate([x[3] for x in texts]), [len(x[3]) for x in texts]
+    for x in texts:
+        x[3] = None  # held once
     train = np.repeat(~np.concatenate([x[1] for x in texts]), np.concatenate([x[2] for x in texts]))
     words, at = np.unique(tokens, return_inverse=True)
     # Frequent words get small numbers, which pack well.
@@ -80,14 +82,15 @@ def _chunk_rows(chunk: int, texts: list[tuple], ranges: int) -> Iterator[tuple]:
     rank = np.empty(len(words), np.uint32)
     rank[order] = np.arange(len(words), dtype=np.uint32)
     numbers, done = rank[at], 0
-    for part, (ids, held, sizes, own) in enumerate(texts):
-        body = pack(numbers[done : done + len(own)])
-        done += len(own)
+    for part, ((ids, held, sizes, _), length) in enumerate(zip(texts, lengths)):
+        body = pack(numbers[done : done + length])
+        done += length
         yield chunk, TEXTS, part, ids, held.tolist(), sizes, body, None
     # The words themselves, to name the numbers again.
     yield chunk, TEXTS, -1, None, None, None, pack(words[order]), None
     counts = np.bincount(at, weights=train, minlength=len(words))
     yield from _range_rows(chunk, WORDS, words, counts, ranges)
+    del at, numbers, rank, words
     pairs, at = np.unique(pair_hashes(tokens), return_inverse=True)
     counts = np.bincount(at, weights=train, minlength=len(pairs))
     yield from _range_rows(chunk, PAIRS, pairs, counts, ranges)
@@ -128,7 +131,7 @@ def packed_chunks(docs: DataFrame, ranges: int) -> DataFrame:
                 n = len(word) - 1
                 tokens = np.insert(hashes, word[1:], _END)
                 here = slice(first, first + n)
-                texts.append((all_ids[here], all_held[here].astype(bool), np.diff(word) + 1, tokens))
+                texts.append([all_ids[here], all_held[here].astype(bool), np.diff(word) + 1, tokens])
                 size += len(data)
                 if size >= CHUNK_BYTES:
                     for row in _chunk_rows(chunk, texts, ranges):
@@ -306,6 +309,8 @@ def scored(docs: DataFrame, folds: int = FOLDS, held_fold: int = HELD_FOLD) -> D
         grams.select("chunk", "kind", "part", "body", "counts")
         .repartition(max(parts, 2 * ranges), "kind", "part").sortWithinPartitions("kind", "part")
         .mapInArrow(_sum_ranges, COUNTED), "counted")
+    for kind in (WORDS, PAIRS):
+        drop_path(spark, f"{packed.staged_path}/kind={kind}")
     totals = [struct.unpack("<qq", r["body"]) for r in counted.where("chunk = -1").select("body").toLocalIterator()]
     n, v = sum(x[0] for x in totals), sum(x[1] for x in totals)
 
