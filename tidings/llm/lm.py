@@ -119,6 +119,12 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
         [pa.array(c, _ARROW[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one, so that only one packed body at a time is copied."""
+    for i in range(len(batch)):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def packed_chunks(docs: DataFrame, ranges: int) -> DataFrame:
     """Rows of ``PACKED`` from ``doc_id, held, text``: tokens, words and pairs of every chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +164,7 @@ def _sum_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batch(rows, COUNTED)
 
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             if (row["kind"], row["part"]) != group:
                 if group is not None:
                     yield result()
@@ -180,9 +186,11 @@ def _join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.argsort(words, kind="stable")  # sorted words, as the counts are
         by_number = np.empty(len(words), np.uint64)
         by_number[rank] = own
-        every = np.concatenate(numbers)
-        _, at = np.unique(pair_hashes(words[every]), return_inverse=True)
-        pairs, done = np.concatenate(counts[PAIRS])[at], 0
+        totals = np.concatenate(counts[PAIRS])
+        counts.clear()
+        _, at = np.unique(pair_hashes(words[np.concatenate(numbers)]), return_inverse=True)
+        pairs, done = totals[at], 0
+        del at, totals
         for (ids, held, sizes, _), part in zip(texts, numbers):
             here = slice(done, done + len(part))
             done += len(part)
@@ -191,7 +199,7 @@ def _join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                            pack(pairs[here]))], JOINED)
 
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             if row["chunk"] != chunk:
                 if chunk is not None:
                     yield from result()
@@ -324,7 +332,7 @@ def scored(docs: DataFrame, folds: int = FOLDS, held_fold: int = HELD_FOLD) -> D
 
     def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 codes, counts = deleted_events(row, n)
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], ["code", "n"])
 
@@ -335,6 +343,6 @@ def scored(docs: DataFrame, folds: int = FOLDS, held_fold: int = HELD_FOLD) -> D
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 yield _batch(score_rows(row, n, v, weights), SCORES)
     return joined.mapInArrow(score, SCORES)
