@@ -14,9 +14,11 @@ tokens (4 bytes), the tokens.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,8 +32,8 @@ from tidings.llm import textops as t
 
 # Text bytes a file is made for; readers hold one file at a time.
 FILE_BYTES = 24 << 20
-# Cached chunks of a worker; when full the cache starts anew, which changes no result.
-CACHE_CHUNKS = 600_000
+# Cached words of a worker; when full the cache starts anew, which changes no result.
+CACHE_WORDS = 900_000
 
 _HEAD, _SUM, _BODY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqBI")
 INDEX = (
@@ -69,46 +71,71 @@ def read_frame(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
     return doc_id if known else None, tokens, at + 12 + size + 5
 
 
-class _Chunks(dict):
-    """Tokens of the chunks seen so far, as bytes."""
-
-    def __init__(self, tokenizer: Tokenizer, dtype: str):
-        super().__init__()
-        self.tokenizer, self.dtype = tokenizer, dtype
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE_CHUNKS:
-            self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        tokens = self[chunk] = np.array(ids, self.dtype).tobytes()
-        return tokens
-
-
 class TokenBytes:
     """Tokens of whole texts as little-endian integers of the least width that holds all ids.
 
-    The pattern of a byte-level model starts a new token at every space that stands before another
-    character, and merges stay inside tokens. So the chunks from one such space to the next are
-    encoded by the library one by one, each distinct one once.
+    The pattern of a byte-level model starts a new token at a space or line feed that stands alone
+    between other characters, and before the full stops and commas behind a letter; a line feed
+    that stands alone is a token itself. Merges stay inside tokens. So words are encoded by the
+    library one by one, each distinct one once; a text with white space in a row, as a whole.
     """
 
-    # White space by any definition ends no chunk.
-    _SPLIT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
+    _SPACE = r"[\s\x1c-\x1f\x85]"  # white space by any definition
+    _RUN = re.compile(_SPACE + _SPACE)
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer = tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self._kind = {2: "H", 4: "I"}[self.width]
         kind = type(tokenizer.pre_tokenizer).__name__
-        self.by_chunk = kind == "ByteLevel" and tokenizer.normalizer is None
-        self._chunks = _Chunks(tokenizer, f"<u{self.width}")
-
-    def __call__(self, text: str) -> bytes:
-        if not self.by_chunk:
-            return self._chunks.__missing__(text) if text else b""
-        first, *rest = self._SPLIT.split(text)
-        known = self._chunks.__getitem__
-        return b"".join([known(first), *map(known, [" " + x for x in rest])])
+        self.by_word = kind == "ByteLevel" and tokenizer.normalizer is None
+        # Tokens of words at the start of a line, of words behind a space, and of full stops.
+        self._first: dict[str, bytes] = {}
+        self._later: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
+        self._feed = self._encode(["\n"])[0]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self._kind, x.ids).tobytes() for x in found]
+
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
+        new = words.difference(known)
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
+            new = words
+        bases = {}
+        for word in new:
+            base = word.rstrip(".,")
+            bases[word] = base if base and base[-1].isalpha() else word
+        missing = list({b for b in bases.values() if b not in known})
+        known.update(zip(missing, self._encode([lead + x for x in missing])))
+        for word, base in bases.items():
+            if word != base:
+                mark = word[len(base) :]
+                if mark not in self._marks:
+                    self._marks[mark] = self._encode([mark])[0]
+                known[word] = known[base] + self._marks[mark]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._encode(texts)
+        out: list = [None] * len(texts)
+        whole = [i for i, x in enumerate(texts) if self._RUN.search(x)]
+        for i, tokens in zip(whole, self._encode([texts[i] for i in whole])):
+            out[i] = tokens
+        lines = [None if x is not None else [y.split(" ") for y in texts[i].split("\n")] for i, x in enumerate(out)]
+        self._learn(self._first, {y[0] for x in lines if x for y in x}, "")
+        self._learn(self._later, set().union(*(y[1:] for x in lines if x for y in x)), " ")
+        later = self._later.__getitem__
+        for i, text in enumerate(lines):
+            if text:
+                out[i] = self._feed.join([
+                    b"".join([self._first[line[0]], *map(later, line[1:])]) for line in text])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -139,7 +166,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
             for at in range(0, len(batch), 256):
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
                 # The writer adds the line feed.
-                frames = [frame(body_of(i, encode(x) + end, encode.width))[:-1] for i, x in zip(ids, texts)]
+                tokens = encode(texts)
+                frames = [frame(body_of(i, x + end, encode.width))[:-1] for i, x in zip(ids, tokens)]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
 
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
