@@ -194,7 +194,8 @@ def verified_links(docs: DataFrame, members: DataFrame, least: int) -> DataFrame
     sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("k"))
     dealt = members.join(sizes, "cluster").select(
         "cluster", "node", "k", F.pmod(F.xxhash64("node"), "k").cast("int").alias("tile"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(dealt, "node")
+    # Always a shuffle: what is a small table here grows with the documents.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(dealt.hint("merge"), "node")
     packed = texts.select("cluster", "node", "k", "tile", "text").mapInArrow(
         _sets, "cluster bigint, node bigint, k int, tile int, packed binary")
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
