@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm import plain
+from tests.llm.conftest import SF_DIR, edge_rows
+from tidings.llm import lm, queries
+
+END = None
+
+
+def tokens(text):
+    return [w.translate(plain.LOWER) for w in plain.words(text)] + [END]
+
+
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def plain_scores(rows, rounds=lm.ROUNDS):
+    train = [tokens(x) for i, x in rows if not held(i)]
+    words, pairs = Counter(), Counter()
+    for t in train:
+        words.update(t)
+        pairs.update(zip([END, *t], t))
+    n, v = sum(words.values()), len(words)
+
+    def bucket(c):
+        return math.frexp(c)[1] if c > 0 else 0
+
+    def steps(p):
+        return None if p <= 0 else round(lm.STEPS * math.log2(p))
+    events = Counter()
+    for t in train:
+        for a, b in zip([END, *t], t):
+            c, x, w = words[a] - 1, pairs[a, b] - 1, words[b] - 1
+            events[bucket(c), steps(x / c if c else 0), steps(w / max(n - 1, 1))] += 1
+    weights, last = {}, np.full(3, 1 / 3)
+    for b in range(65):
+        mine = [(e, k) for e, k in events.items() if e[0] == b]
+        if mine:
+            p = np.array([[0 if s is None else 2 ** (s / lm.STEPS) for s in e[1:]] + [1 / (v + 1)] for e, _ in mine]).T
+            w, k = np.full(3, 1 / 3), np.array([k for _, k in mine])
+            for _ in range(rounds):
+                share = w[:, None] * p
+                share /= share.sum(axis=0)
+                w = (share * k).sum(axis=1) + [1e-9, 1e-9, 1e-3]
+                w /= w.sum()
+            last = w
+        weights[b] = last
+    weights[0] = np.array([0, weights[0][1], weights[0][0] + weights[0][2]])
+    out = []
+    for i, text in rows:
+        t = tokens(text)
+        base = sum(math.log10((words[x] + 1) / (n + v + 1)) for x in t)
+        score = 0.0
+        for a, b in zip([END, *t], t):
+            w, c = weights[bucket(words[a])], words[a]
+            score += math.log10(w[0] * (pairs[a, b] / c if c else 0) + w[1] * words[b] / max(n, 1) + w[2] / (v + 1))
+        out.append((i, held(i), len(t), sum(words[x] > 0 for x in t), n, base, score))
+    return out
+
+
+def compare(got, rows):
+    expected = sorted(plain_scores(rows), key=str)
+    got = sorted((tuple(r) for r in got), key=str)
+    by = lambda r: (str(r[0]), r[2], round(r[5], 3))
+    for a, b in zip(sorted(got, key=by), sorted(expected, key=by), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-6)
+
+
+def test_query(spark, docs):
+    compare(queries.op7_scores(spark, SF_DIR).collect(), [(d.doc_id, d.text) for d in docs])
+
+
+def test_edge_rows(spark, folder, empty):
+    compare(queries.op7_scores(spark, folder).collect(), [r[:2] for r in edge_rows()])
+    assert lm.scored(empty).count() == 0
+
+
+def test_chunks_and_ranges_change_nothing(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 20_000)
+    some = docs[:60]
+    got = lm.scored(spark.createDataFrame(some).repartition(3)).collect()
+    compare(got, [(d.doc_id, d.text) for d in some])
+
+
+def test_held_out_texts_are_better_predicted_than_by_words_alone(spark, docs):
+    rows = [r for r in queries.op7_scores(spark, SF_DIR).collect() if r.held_out]
+    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_weights_recover_a_known_mixture():
+    rng = np.random.default_rng(5)
+    kinds = rng.choice(3, 20_000, p=[0.5, 0.3, 0.2])
+    # An event of a kind is likely under that kind alone.
+    steps = np.where(kinds == 0, 1024 - 4, 1024 + lm._FLOOR) * 2048 + np.where(kinds == 1, 1024 - 4, 1024 + lm._FLOOR)
+    codes, counts = np.unique(3 * 2048 * 2048 + steps, return_counts=True)
+    assert lm.learn_weights(codes, counts, 10**6)[3] == pytest.approx([0.5, 0.3, 0.2], abs=0.02)
+
+
+def test_packing():
+    for dtype in (np.uint32, np.uint64):
+        x = np.random.default_rng(1).integers(0, 2**31, 1000).astype(dtype)
+        assert (lm.unpack(lm.pack(x), dtype) == x).all()
+    assert len(lm.unpack(lm.pack(np.zeros(0, np.uint64)), np.uint64)) == 0

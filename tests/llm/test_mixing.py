@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm import plain
+from tests.llm.conftest import SF_DIR, edge_rows
+from tidings.llm import mixing, queries
+
+
+def test_targets():
+    assert mixing.targets([10, 10, 10], [1, 2, 3]) == [5, 10, 15]
+    got = mixing.targets([100, 1, 0, 50], [1, 2, 3, 1])
+    assert got[1] == 3 and got[2] == 0 and got[0] == got[3] == 74
+    assert mixing.targets([], []) == [] and mixing.targets([0, 0], [1, 2]) == [0, 0]
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        sizes = [int(x) for x in rng.integers(0, 1000, 12) ** 2]
+        weights = [1 + i % 3 for i in range(12)]
+        got = mixing.targets(sizes, weights)
+        assert sum(got) == pytest.approx(sum(sizes))
+        assert all(g <= 3 * s + 1e-6 for g, s in zip(got, sizes))
+        free = [g / w for g, w, s in zip(got, weights, sizes) if s and g < 3 * s - 1e-6]
+        assert not free or max(free) == pytest.approx(min(free))
+
+
+def test_permutations():
+    for n in (1, 2, 3, 7, 64, 1000):
+        index = np.arange(n)
+        got = mixing.permuted(index, np.full(n, n), np.full(n, 99, np.uint64))
+        assert sorted(got.tolist()) == list(range(n))
+    a, b = (mixing.permuted(np.arange(1000), np.full(1000, 1000), np.full(1000, k, np.uint64)) for k in (1, 2))
+    assert (a == b).mean() < 0.02 and abs(np.corrcoef(a, np.arange(1000))[0, 1]) < 0.15
+
+
+def test_draws_of_a_shard():
+    shares = np.array([0.5, 0.3, 0.1999, 0.0001])
+    every = np.array([mixing.shard_counts(i, 100, shares, 7) for i in range(2000)])
+    assert (every.sum(axis=1) == 100).all() and every.std(axis=0).max() < 1
+    assert every.mean(axis=0) == pytest.approx(shares * 100, abs=0.05)
+
+
+def test_slots(spark):
+    blocks, wanted = np.array([50, 3000, 0, 1]), np.array([150.0, 9000.4, 0, 2.5])
+    rows = mixing.draw_slots(spark, blocks, wanted, 3, 4).collect()
+    assert len({(r.shard, r.slot) for r in rows}) == len(rows)
+    drawn = Counter((r["src"], r.block) for r in rows)
+    assert max(drawn.values()) <= 3 and len({(r["src"], r["pass"], r.block) for r in rows}) == len(rows)
+    totals = Counter(r["src"] for r in rows)
+    assert abs(totals[1] - 9000.4) < 15 and abs(totals[0] - 150) <= 6 and totals[2] == 0
+
+
+def check(rows, docs, tolerance):
+    sizes = Counter()
+    for _, text, source in docs:
+        sizes[source] += len(plain.words(text))
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    goal = dict(zip(names, mixing.targets([sizes[n] for n in names], [1 + i % 3 for i in range(len(names))])))
+    expected = sorted(str((i, len(plain.words(x)), sizes[src], goal[src])) for i, x, src in docs)
+    assert sorted(str((r.doc_id, r.size, r.source_size, r.target)) for r in rows) == expected
+    assert all(0 <= r.taken <= 3 * r.size for r in rows)
+    taken = Counter()
+    for r in rows:
+        taken[r.source_size, r.target] += r.taken
+    for (size, target), n in taken.items():
+        assert abs(n - target) <= tolerance + 0.08 * target
+
+
+def test_query(spark, docs):
+    rows = queries.op10_mix(spark, SF_DIR).collect()
+    check(rows, [(d.doc_id, d.text, d.source) for d in docs], 3 * mixing.BLOCK_WORDS)
+    again = queries.op10_mix(spark, SF_DIR).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_edge_rows(spark, folder, empty):
+    rows = queries.op10_mix(spark, folder).collect()
+    check(rows, [(r[0], r[1], r[3]) for r in edge_rows()], 4000)
+    assert mixing.mixed(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+
+
+def test_hot_source_is_spread(spark):
+    docs = spark.range(30_000).selectExpr(
+        "id AS doc_id", "repeat('w x ', cast(id % 20 AS int)) AS text", "if(id % 3 = 0, 'hot', concat('s', id % 7)) AS source")
+    rows = mixing.mixed(docs).collect()
+    taken, goal = Counter(), {}
+    for r in rows:
+        taken[r.source_size, r.target] += r.taken
+    assert all(abs(n - t) < 0.03 * t + 1000 for (_, t), n in taken.items())
+
+
+def test_mixed_documents_hold_the_words_that_are_taken(spark, edge, docs):
+    for table in (edge, spark.createDataFrame(docs)):
+        taken = Counter()
+        for r in mixing.mixed(table).collect():
+            taken[r.doc_id] += r.taken
+        out = mixing.mixed_documents(table)
+        assert out.schema == table.schema
+        got, texts = Counter(), {}
+        for r in table.collect():
+            texts.setdefault(r.doc_id, []).append(plain.words(r.text))
+        for r in out.collect():
+            words = plain.words(r.text)
+            got[r.doc_id] += len(words)
+            assert r.n_chars == len(r.text)
+            assert any(set(words) <= set(x) for x in texts[r.doc_id])
+        assert +got == +taken
