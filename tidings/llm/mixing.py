@@ -187,7 +187,8 @@ def _draws(placed: DataFrame, slots: DataFrame, block_words: int) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("start") / block_words),
                              F.floor((F.col("start") + F.col("size") - 1) / block_words))).alias("block"))
     begin = F.col("block") * block_words - F.col("start")
-    hit = taken.join(slots.select("src", "block", "pass"), ["src", "block"])
+    # The slots grow with the data, which their estimated size does not show: never a broadcast.
+    hit = taken.join(slots.select("src", "block", "pass").hint("merge"), ["src", "block"])
     return hit.select(
         "row", "pass", F.greatest(begin, F.lit(0)).alias("first"),
         F.least(begin + block_words, F.col("size")).alias("last"))
