@@ -51,7 +51,7 @@ def start_ingest(
     zipped: bool = True,
     every: str | None = None,
     files_per_batch: int = 1000,
-    max_file_age: str = "7d",
+    max_file_age: str = "36500d",
     clean: str = "off",
     clean_to: str | None = None,
 ) -> dict[str, StreamingQuery]:
@@ -65,6 +65,10 @@ def start_ingest(
     ``delete``, for files that have been processed. ``files_per_batch`` bounds a
     batch after a pause.
 
+    A file older than the newest one by more than ``max_file_age`` is neither taken nor
+    remembered, so a shorter age drops late files and may store a name twice. The default forgets
+    nothing; what is remembered, one name a file, is held by the driver and grows with the files.
+
     The stored folder has a log of its files: nothing else may write there.
     """
     options = {
