@@ -296,7 +296,8 @@ def test_executors_need_no_package(tmp_path):
     function = tmp_path / "function"
     function.write_bytes(cloudpickle.dumps(archives._unzip))
     program = f"""
-import pickle, pyarrow as pa
+import pickle, sys, pyarrow as pa
+sys.modules["tidings"] = None
 unzip = pickle.load(open({str(function)!r}, "rb"))
 content = open({path!r}, "rb").read()
 batch = pa.RecordBatch.from_pydict({{"path": ["a.zip"], "content": [content]}})
@@ -307,7 +308,8 @@ try:
 except ImportError:
     print("done")
 """
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run(
-        [sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, check=True
+        [sys.executable, "-c", program], cwd=tmp_path, env=clean, capture_output=True, text=True, check=True
     )
     assert done.stdout.strip() == "done"
