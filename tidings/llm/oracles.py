@@ -56,7 +56,7 @@ FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 _QUALITY = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \x09-\x0D]')) AS lines
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^ \x09-\x0D]')] AS lines
   FROM documents
 ), g AS (
   SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
