@@ -11,13 +11,16 @@ import sys
 import time
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from tidings.operators import files as file_ops
 from tidings.plans.daily import run_daily
 from tidings.schemas import schema_of
 from tidings.sources import archives, datasets, sinks
+from tidings.sources import flat as flat_files
 from tidings.streaming.ingest import start_ingest
 
 
@@ -59,15 +62,15 @@ def records(spark, tmp_path, kind="gkg"):
 
 
 def keys(spark, tmp_path):
-    rows = records(spark, tmp_path).where("ingest_error IS NULL").collect()
+    rows = records(spark, tmp_path).collect()
     return sorted(r.GKGRECORDID for r in rows)
 
 
 def test_lines_of_every_member(spark, tmp_path):
     zipped(str(tmp_path), "a.zip", "x\r\n\r\ny z\n", b"\xff\n", "")
     rows = archives.read_zipped_lines(spark, str(tmp_path)).orderBy("member", "line_no").collect()
-    assert [(r.line_no, r.line, r.error) for r in rows] == [
-        (1, "x", None), (3, "y z", None), (1, "�", None)
+    assert [(r.line_no, r.line, r.error, r.replaced) for r in rows] == [
+        (1, "x", None, False), (3, "y z", None, False), (1, "�", None, True)
     ]
 
 
@@ -115,8 +118,10 @@ def test_ingest_takes_each_file_once(spark, landed, tmp_path):
     assert keys(spark, tmp_path) == ["r1", "r2", "r3"]
     stored = records(spark, tmp_path)
     assert [r.AllNames for r in stored.where("GKGRECORDID = 'r3'").collect()] == ['say "hi;X']
-    bad = stored.where("ingest_error IS NOT NULL").collect()
-    assert [(r.source_file, r.ds) for r in bad] == [("20150222190000.gkg.csv.zip", None)]
+    assert stored.where("ingest_error IS NOT NULL").count() == 0
+    bad = datasets.load_quarantine(spark, f"{tmp_path}/stored").collect()
+    assert [(r.source_file, r.dataset) for r in bad] == [("20150222190000.gkg.csv.zip", "gkg")]
+    assert "BadZipFile" in bad[0].ingest_error
     assert records(spark, tmp_path, "mentions").first().GLOBALEVENTID == 7
     assert {r.dataset for r in stored.collect()} == {"gkg"}
 
@@ -213,10 +218,70 @@ def test_flat_folder_by_day(spark, tmp_path):
         datasets.parse_lines(line, "gkg").coalesce(1).write.parquet(part)
         [name] = [n for n in os.listdir(part) if n.endswith(".parquet")]
         shutil.copy(f"{part}/{name}", f"{flat}/{day}000000.gkg.csv.gzip.parquet")
-    one = datasets.load_files(spark, str(flat), 20171201).collect()
+    one = flat_files.load_files(spark, str(flat), 20171201).collect()
     assert [(r.GKGRECORDID, r.ds) for r in one] == [("a", 20171201)]
     assert one[0].source_file == "20171201000000.gkg.csv.gzip.parquet"
-    assert datasets.load_files(spark, str(flat)).count() == 2
+    assert flat_files.load_files(spark, str(flat)).count() == 2
+
+
+def test_flat_files_with_inferred_types(spark, tmp_path):
+    """Types of one file do not bind the next, and none of them is the declared one."""
+    first = pd.DataFrame({
+        "GKGRECORDID": ["a", "b"], "DATE": [20171201000000, 20171201001500],
+        "SourceCollectionIdentifier": [1, 2], "Themes": [float("nan")] * 2, "Counts": [None, None],
+        "Persons": [7.0, float("nan")], "Unknown": [1, 2],
+    })
+    second = pd.DataFrame({
+        "GKGRECORDID": [5], "DATE": ["20171202000000"], "Themes": ["T;U"],
+        "SourceCollectionIdentifier": [float(2**40)], "Persons": [1.5],
+    })
+    first.to_parquet(f"{tmp_path}/20171201000000.gkg.csv.gzip.parquet", compression="gzip")
+    second.to_parquet(f"{tmp_path}/20171202000000.gkg.csv.gzip.parquet", compression="gzip")
+    found = flat_files.load_files(spark, str(tmp_path))
+    declared = schema_of("gkg")
+    assert found.select(declared.names).schema.simpleString() == declared.simpleString()
+    rows = found.orderBy("ds", "GKGRECORDID").collect()
+    columns = ("GKGRECORDID", "DATE", "SourceCollectionIdentifier", "Themes", "Counts", "Persons", "ds")
+    assert [tuple(r[c] for c in columns) for r in rows] == [
+        ("a", 20171201000000, 1, None, None, "7", 20171201),
+        ("b", 20171201001500, 2, None, None, None, 20171201),
+        ("5", 20171202000000, None, "T;U", None, "1.5", 20171202),
+    ]
+    narrow = flat_files.load_files(spark, str(tmp_path), 20171202, columns=["Themes"])
+    assert [(r.Themes, r.ds) for r in narrow.collect()] == [("T;U", 20171202)]
+
+
+def test_late_files_and_repeated_names(spark, tmp_path):
+    """The age of a file decides nothing: late files are taken, a name is taken once."""
+    def land(folder, name, key, days):
+        path = zipped(f"{tmp_path}/in/{folder}", name, gkg_line(key))
+        os.utime(path, (time.time() - days * 24 * 3600,) * 2)
+
+    land("a", "20150220183000.gkg.csv.zip", "first", 20)
+    ingest(spark, f"{tmp_path}/in/*", tmp_path, datasets=("gkg",))
+    land("a", "20150201000000.gkg.csv.zip", "late", 400)
+    land("b", "20150301000000.gkg.csv.zip", "new", 1)
+    ingest(spark, f"{tmp_path}/in/*", tmp_path, datasets=("gkg",))
+    land("c", "20150220183000.gkg.csv.zip", "again", 0)
+    land("c", "20150201000000.gkg.csv.zip", "again", 0)
+    ingest(spark, f"{tmp_path}/in/*", tmp_path, datasets=("gkg",))
+    assert keys(spark, tmp_path) == ["first", "late", "new"]
+
+
+def test_missing_files_read_near_days_only(spark, tmp_path):
+    names = ["20150220183000.gkg.csv.zip", "20150221184500.gkg.csv.zip", "undated.gkg.csv.zip"]
+    stored = [(names[0], 20150220, "x"), ("20140101000000.gkg.csv.zip", 20140101, "x"),
+              (names[2], None, "x")]
+    rows = spark.createDataFrame(stored, "source_file string, ds int, AllNames string")
+    sinks.write_dataset(rows, f"{tmp_path}/gkg")
+    kept = spark.read.schema(rows.schema).parquet(f"{tmp_path}/gkg")
+    lines = spark.createDataFrame([(f"1 c http://x.org/{n}",) for n in names], "value string")
+    missing = file_ops.missing_files(lines, kept)
+    assert [r.file_name for r in missing.collect()] == [names[1]]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<source_file:string>" in plan
+    assert "PartitionFilters: [(isnull(ds" in plan
+    assert file_ops.missing_files(lines.limit(0), kept).count() == 0
 
 
 def test_write_dataset(spark, tmp_path):
@@ -287,7 +352,7 @@ def test_archive_bytes_are_read_in_place():
     import pyarrow as pa
 
     rows = list(archives._archive_lines("p", pa.py_buffer(data.getvalue())))
-    assert rows == [("p", "folder/x", 1, "one", None), ("p", "folder/x", 2, "two", None)]
+    assert rows == [("p", "folder/x", 1, "one", None, False), ("p", "folder/x", 2, "two", None, False)]
 
 
 def test_executors_need_no_package(tmp_path):

@@ -55,15 +55,33 @@ def name_runs(names: Column) -> Column:
     return bind(F.sort_array(names), runs)
 
 
+# ``name_runs`` as SQL: the places where a new name starts in the sorted list, and how far it
+# is from each to the next.
+COUNTS_SQL = """
+    flatten(transform(array(array_sort({names})), o -> flatten(transform(
+        array(filter(transform(o, (x, i) -> struct(x AS name, i AS at)),
+                     e -> e.at = 0 OR get(o, e.at - 1) <> e.name)),
+        h -> transform(h, (e, i) -> struct(e.name AS name,
+            CAST(coalesce(get(h, i + 1).at, size(o)) - e.at AS BIGINT) AS n))))))
+"""
+
+
 def register_functions(
-    spark: SparkSession, pairs: str = "get_cooccurences", names: str = "entity_names"
+    spark: SparkSession,
+    pairs: str = "get_cooccurences",
+    names: str = "entity_names",
+    counts: str = "name_counts",
 ) -> None:
-    """Two functions for SQL on a names string.
+    """Three functions for SQL on a names string.
 
     ``pairs`` gives the array of ``[name, name]`` pairs. It holds the square of
     the number of names in one value, so it is for short lists. ``names`` gives
-    the array of names; two ``LATERAL VIEW explode`` of it yield the same pairs
-    as rows, and ``operators.cooccurrence`` counts pairs without these rows.
+    the array of names. ``counts`` gives the distinct names, each with its
+    multiplicity, as an array of ``(name, n)``: two ``LATERAL VIEW explode`` of
+    it yield the pairs as rows that count ``a.n * b.n`` times, so a list of any
+    length is a stream of rows and never one value. A generator over ``pairs``
+    needs the call in a subquery. ``operators.cooccurrence`` also spreads the
+    rows of one long list over several tasks.
     """
     # Fixed value: the default for ``pairs``, as existing SQL text calls it.
     name_of = f"substring_index(x, '{FIELD_SEPARATOR}', 1)"
@@ -72,6 +90,11 @@ def register_functions(
         CREATE OR REPLACE TEMPORARY FUNCTION {names}(list STRING)
         RETURNS ARRAY<STRING> RETURN {array}
     """)
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {counts}(list STRING)
+        RETURNS ARRAY<STRUCT<name: STRING, n: BIGINT>>
+        RETURN {COUNTS_SQL.format(names=array)}
+    """)
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {pairs}(list STRING)
         RETURNS ARRAY<ARRAY<STRING>>

@@ -40,6 +40,21 @@ def route_files(df: DataFrame, col: str = "file_name") -> DataFrame:
     return df.withColumn("dataset", f.dataset_of(col))
 
 
+def missing_files(lines: DataFrame, stored: DataFrame, col: str = "value") -> DataFrame:
+    """``parse_manifest`` of the lines, without the files of which ``stored`` has rows.
+
+    ``stored`` has ``source_file`` and is partitioned by ``ds``; only the days from the first to
+    the last of the manifest are read, and the partition of names without a day.
+    """
+    manifest = parse_manifest(lines, col)
+    day = f.day_of("file_name")
+    first = manifest.select(F.min(day)).scalar()
+    last = manifest.select(F.max(day)).scalar()
+    near = stored.where(F.col("ds").isNull() | F.col("ds").between(first, last))
+    names = near.select(F.col("source_file").alias("file_name")).distinct()
+    return manifest.join(names, "file_name", "left_anti").select(*manifest.columns)
+
+
 def only_new_files(incoming: DataFrame, stored: DataFrame, on: str = "source_file") -> DataFrame:
     """Incoming files whose name is not stored yet.
 

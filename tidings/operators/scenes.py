@@ -55,6 +55,13 @@ def _stretch(value: Column, low: float, high: float) -> Column:
     return F.when(share.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
+def _colours(combination: str, col: str, low: float, high: float) -> list[Column]:
+    return [
+        _stretch(F.get(col, F.lit(band - 1)), low, high).alias(colour)
+        for colour, band in zip(("red", "green", "blue"), COMBINATIONS[combination])
+    ]
+
+
 def band_composite(
     df: DataFrame,
     combination: str,
@@ -64,8 +71,19 @@ def band_composite(
     high: float = DISPLAY_MAX,
 ) -> DataFrame:
     """``red, green, blue`` in 0..1 for one band combination; NULL for a missing band."""
-    colours = [
-        _stretch(F.get(col, F.lit(band - 1)), low, high).alias(colour)
-        for colour, band in zip(("red", "green", "blue"), COMBINATIONS[combination])
-    ]
-    return df.select(*keep, *colours)
+    return df.select(*keep, *_colours(combination, col, low, high))
+
+
+def band_composites(
+    df: DataFrame,
+    *keep: str,
+    col: str = "bands",
+    low: float = DISPLAY_MIN,
+    high: float = DISPLAY_MAX,
+) -> DataFrame:
+    """Every band combination from one scan: a row for each, named in ``combination``."""
+    shown = F.array(*[
+        F.struct(*_colours(name, col, low, high), F.lit(name).alias("combination"))
+        for name in COMBINATIONS
+    ])
+    return df.select(*keep, F.explode(shown).alias("shown")).select(*keep, "shown.*")

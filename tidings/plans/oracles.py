@@ -2,11 +2,44 @@
 
 from __future__ import annotations
 
-from tidings.functions.files import MANIFEST_URL_PATTERN
-from tidings.operators.scenes import COMBINATIONS, DISPLAY_MAX
 from tidings.plans.queries import DAY, DAYS, LATEST, POINT, TOP
 from tidings.plans.tables import FIRST_STAMP, PATTERNS
 
+# Fixed values, written out once more so that the SQL does not follow the code it checks: bands of
+# each combination, the display range, the address in a manifest line, and the columns of the three
+# datasets in the order of the files with their types (V text, I integer, B bigint, D double).
+COMBINATIONS = {
+    "vegetation": (5, 4, 3), "natural_color": (4, 3, 2), "agriculture": (6, 5, 2),
+    "land_water": (5, 6, 4), "urban": (7, 6, 4), "atmospheric": (7, 5, 4),
+}
+DISPLAY_MAX = 0.3
+MANIFEST_URL_PATTERN = r"(https?://[^\s]+)"
+RECORD_FIELDS = """
+    V GKGRECORDID, B DATE, I SourceCollectionIdentifier, V SourceCommonName, V DocumentIdentifier,
+    V Counts, V V2Counts, V Themes, V V2Themes, V Locations, V V2Locations, V Persons, V V2Persons,
+    V Organizations, V V2Organizations, V V2Tone, V Dates, V GCAM, V SharingImage,
+    V RelatedImages, V SocialImageEmbeds, V SocialVideoEmbeds, V Quotations, V AllNames, V Amounts,
+    V TranslationInfo, V Extras"""
+EVENT_FIELDS = """
+    B GLOBALEVENTID, I SQLDATE, I MonthYear, I Year, D FractionDate, V Actor1Code, V Actor1Name,
+    V Actor1CountryCode, V Actor1KnownGroupCode, V Actor1EthnicCode, V Actor1Religion1Code,
+    V Actor1Religion2Code, V Actor1Type1Code, V Actor1Type2Code, V Actor1Type3Code, V Actor2Code,
+    V Actor2Name, V Actor2CountryCode, V Actor2KnownGroupCode, V Actor2EthnicCode,
+    V Actor2Religion1Code, V Actor2Religion2Code, V Actor2Type1Code, V Actor2Type2Code,
+    V Actor2Type3Code, I IsRootEvent, V EventCode, V EventBaseCode, V EventRootCode, I QuadClass,
+    D GoldsteinScale, I NumMentions, I NumSources, I NumArticles, D AvgTone, I Actor1Geo_Type,
+    V Actor1Geo_FullName, V Actor1Geo_CountryCode, V Actor1Geo_ADM1Code, V Actor1Geo_ADM2Code,
+    D Actor1Geo_Lat, D Actor1Geo_Long, V Actor1Geo_FeatureID, I Actor2Geo_Type,
+    V Actor2Geo_FullName, V Actor2Geo_CountryCode, V Actor2Geo_ADM1Code, V Actor2Geo_ADM2Code,
+    D Actor2Geo_Lat, D Actor2Geo_Long, V Actor2Geo_FeatureID, I ActionGeo_Type,
+    V ActionGeo_FullName, V ActionGeo_CountryCode, V ActionGeo_ADM1Code, V ActionGeo_ADM2Code,
+    D ActionGeo_Lat, D ActionGeo_Long, V ActionGeo_FeatureID, B DATEADDED, V SOURCEURL"""
+MENTION_FIELDS = """
+    B GLOBALEVENTID, B EventTimeDate, B MentionTimeDate, I MentionType, V MentionSourceName,
+    V MentionIdentifier, I SentenceID, I Actor1CharOffset, I Actor2CharOffset, I ActionCharOffset,
+    I InRawText, I Confidence, I MentionDocLen, D MentionDocTone, V MentionDocTranslationInfo,
+    V Extras"""
+
 # Fixed value: addresses as a host of dot-separated labels and an optional rest.
 URL_BY_LABELS = (
     r"(http|ftp|https)(://)([\w_-]+(?:(?:\.[\w_-]+)+))"
@@ -82,12 +115,33 @@ _FILE = f"strftime(ts, '%Y%m%d%H%M%S') || '.' || {_KIND} || '.zip'"
 
 _EVENT_FIELDS = """event_id AS GLOBALEVENTID, event_type AS EventCode, value AS AvgTone,
     props AS SOURCEURL"""
-_MENTIONS = """
-    l_orderkey AS GLOBALEVENTID,
-    cast(strftime(l_shipdate, '%Y%m%d%H%M%S') AS BIGINT) AS MentionTimeDate,
-    l_linenumber AS MentionType, l_returnflag AS MentionSourceName,
-    cast(l_partkey AS VARCHAR) AS MentionIdentifier,
-    cast(trunc(l_quantity) AS INTEGER) AS Confidence, l_discount AS MentionDocTone"""
+
+
+def _fields(listed: str, key: str, **known: str) -> str:
+    """Every column of a dataset: the known ones, and numbers made from key and place."""
+    types = {"V": "VARCHAR", "I": "INTEGER", "B": "BIGINT", "D": "DOUBLE"}
+    cells = []
+    for place, field in enumerate(listed.split(",")):
+        kind, name = field.split()
+        value = known.get(name, f"cast({key} AS BIGINT) % 1000 * 100 + {place}")
+        cells.append(f"cast({value} AS {types[kind]}) AS {name}")
+    return ", ".join(cells)
+
+
+_RECORD_LINES = _fields(
+    RECORD_FIELDS, "GKGRECORDID",
+    **{c: c for c in ("GKGRECORDID", "DATE", "Themes", "Locations", "Persons", "Organizations",
+                      "AllNames")})
+_EVENT_LINES = _fields(
+    EVENT_FIELDS, "event_id", GLOBALEVENTID="event_id", SQLDATE="strftime(ts, '%Y%m%d')",
+    MonthYear="strftime(ts, '%Y%m')", Year="year(ts)", Actor1Code="user_id",
+    EventCode="event_type", AvgTone="value", DATEADDED="strftime(ts, '%Y%m%d%H%M%S')",
+    SOURCEURL="props")
+_MENTION_LINES = _fields(
+    MENTION_FIELDS, "l_orderkey", GLOBALEVENTID="l_orderkey",
+    MentionTimeDate="strftime(l_shipdate, '%Y%m%d%H%M%S')", MentionType="l_linenumber",
+    MentionSourceName="l_returnflag", MentionIdentifier="l_partkey",
+    Confidence="trunc(l_quantity)", MentionDocTone="l_discount")
 
 _SCENES = """
     SELECT event_id AS scene_id,
@@ -151,13 +205,14 @@ ORACLES = {
     "cooc_total": _pairs("AllNames") + " SELECT cast(sum(count) AS BIGINT) AS total FROM counts",
     "cooc_top_k": _pairs("AllNames") + f" SELECT * FROM ({_WEIGHTED}) WHERE rn <= {TOP}",
     "cooc_pairs": f"""
-        WITH x AS ({_names("Persons")}),
-        g AS (SELECT k FROM x GROUP BY k HAVING count(*) > 1)
+        WITH x AS ({_names("AllNames")}),
+        g AS (SELECT k FROM x GROUP BY k HAVING count(*) > 1),
+        m AS (SELECT k, nm, count(*) AS n FROM x JOIN g USING (k) GROUP BY k, nm)
         SELECT cast(k AS VARCHAR) AS GKGRECORDID, a.nm AS name_a, b.nm AS name_b,
-               count(*) AS count
-        FROM x a JOIN x b USING (k) JOIN g USING (k) GROUP BY ALL""",
-    "cooc_sql_function": _pairs("Persons") + " SELECT * FROM counts",
-    "cooc_sql_names": _pairs("Persons") + " SELECT * FROM counts",
+               a.n * b.n AS count
+        FROM m a JOIN m b USING (k)""",
+    "cooc_sql_function": _pairs("AllNames") + " SELECT * FROM counts",
+    "cooc_sql_names": _pairs("AllNames") + " SELECT * FROM counts",
     "multi_entity_filter": f"""
         SELECT AllNames FROM ({_RECORDS}) WHERE AllNames LIKE '%;%'""",
     "split_items": f"""
@@ -212,18 +267,16 @@ ORACLES = {
     "new_files": """
         SELECT 'batch-' || event_id || '.gkg.csv.zip' AS source_file FROM events
         WHERE NOT EXISTS (SELECT 1 FROM documents WHERE doc_id = event_id)""",
+    "backfill_files": f"""
+        SELECT user_id + 1000 AS size, md5(cast(event_id AS VARCHAR)) AS checksum,
+               'http://data.example.org/v2/' || {_FILE} AS url, {_FILE} AS file_name,
+               strftime(ts, '%Y%m%d%H%M%S') AS stamp, {_DATASET} AS dataset
+        FROM events WHERE event_type NOT IN ('click', 'view')""",
     "typed_records": f"""
-        SELECT *, cast(NULL AS VARCHAR) AS Extras, cast(NULL AS VARCHAR) AS bad
-        FROM ({_RECORDS})""",
-    "typed_events": f"""
-        SELECT {_EVENT_FIELDS}, cast(strftime(ts, '%Y%m%d') AS INTEGER) AS SQLDATE,
-               cast(strftime(ts, '%Y%m') AS INTEGER) AS MonthYear,
-               cast(year(ts) AS INTEGER) AS Year, cast(user_id AS VARCHAR) AS Actor1Code,
-               cast(strftime(ts, '%Y%m%d%H%M%S') AS BIGINT) AS DATEADDED,
-               cast(NULL AS VARCHAR) AS bad
-        FROM events""",
-    "typed_mentions": f"SELECT {_MENTIONS}, cast(NULL AS VARCHAR) AS bad FROM lineitem",
-    "typed_files": f"SELECT {_MENTIONS} FROM lineitem",
+        SELECT {_RECORD_LINES}, cast(NULL AS VARCHAR) AS bad FROM ({_RECORDS})""",
+    "typed_events": f"SELECT {_EVENT_LINES}, cast(NULL AS VARCHAR) AS bad FROM events",
+    "typed_mentions": f"SELECT {_MENTION_LINES}, cast(NULL AS VARCHAR) AS bad FROM lineitem",
+    "typed_files": f"SELECT {_MENTION_LINES} FROM lineitem",
     "unzipped_lines": f"""
         SELECT 'events' AS dataset, cast(NULL AS VARCHAR) AS error, {_EVENT_FIELDS} FROM events""",
     "stream_ingest": """

@@ -29,8 +29,8 @@ LATEST = 10
 # Co-occurrence ---------------------------------------------------------------
 
 def cooc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = tables.records(spark, sf_dir).where(F.col("Persons").contains(";"))
-    return cooc.entity_pairs(found, "GKGRECORDID", col="Persons")
+    found = tables.records(spark, sf_dir).where(F.col("AllNames").contains(";"))
+    return cooc.entity_pairs(found, "GKGRECORDID")
 
 
 def cooc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +70,8 @@ def cooc_sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
         """
         SELECT pair[0] AS name_a, pair[1] AS name_b, count(*) AS count
         FROM (SELECT explode(pairs) AS pair
-              FROM (SELECT get_cooccurences(Persons) AS pairs
-                    FROM {found} WHERE Persons LIKE '%;%'))
+              FROM (SELECT get_cooccurences(AllNames) AS pairs
+                    FROM {found} WHERE AllNames LIKE '%;%'))
         GROUP BY pair[0], pair[1]
         """,
         found=found,
@@ -83,11 +83,11 @@ def cooc_sql_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tables.records(spark, sf_dir)
     return spark.sql(
         """
-        SELECT name_a, name_b, count(*) AS count
-        FROM (SELECT entity_names(Persons) AS names FROM {found} WHERE Persons LIKE '%;%')
-        LATERAL VIEW explode(names) a AS name_a
-        LATERAL VIEW explode(names) b AS name_b
-        GROUP BY name_a, name_b
+        SELECT a.name AS name_a, b.name AS name_b, sum(a.n * b.n) AS count
+        FROM (SELECT name_counts(AllNames) AS names FROM {found} WHERE AllNames LIKE '%;%')
+        LATERAL VIEW explode(names) x AS a
+        LATERAL VIEW explode(names) y AS b
+        GROUP BY a.name, b.name
         """,
         found=found,
     )
@@ -177,7 +177,7 @@ def view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stored_records(spark, sf_dir)
-    stored = run_daily(spark, root, f"{root}-results")
+    stored = run_daily(spark, root, f"{root}-results", "all")
     report = None
     for name, df in stored.items():
         line = df.agg(F.count("*").alias("rows"), F.sum("count").alias("mentions"))
@@ -222,34 +222,36 @@ def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_ops.only_new_files(names("events", "event_id"), names("documents", "doc_id"))
 
 
+def backfill_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest files not stored yet, where those of clicks and views are stored by day."""
+    lines = tables.manifest(spark, sf_dir)
+    listed = file_ops.parse_manifest(lines)
+    stored = listed.where("dataset IN ('gkg', 'events')").select(
+        F.col("file_name").alias("source_file"), files.day_of("file_name").alias("ds"))
+    path = new_path(spark, "stored")
+    sinks.write_dataset(stored, path)
+    return file_ops.missing_files(lines, spark.read.schema(stored.schema).parquet(path))
+
+
 def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = datasets.parse_lines(tables.record_lines(spark, sf_dir), "gkg")
-    return typed.select(*records.MASTER_COLUMNS, "Extras", F.col("_corrupt_record").alias("bad"))
+    return typed.withColumnRenamed("_corrupt_record", "bad")
 
 
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = datasets.parse_lines(tables.event_lines(spark, sf_dir), "events")
-    return typed.select(
-        "GLOBALEVENTID", "SQLDATE", "MonthYear", "Year", "Actor1Code", "EventCode", "AvgTone",
-        "DATEADDED", "SOURCEURL", F.col("_corrupt_record").alias("bad"),
-    )
-
-
-_MENTION_FIELDS = [
-    "GLOBALEVENTID", "MentionTimeDate", "MentionType", "MentionSourceName", "MentionIdentifier",
-    "Confidence", "MentionDocTone",
-]
+    return typed.withColumnRenamed("_corrupt_record", "bad")
 
 
 def typed_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = datasets.parse_lines(tables.mention_lines(spark, sf_dir), "mentions")
-    return typed.select(*_MENTION_FIELDS, F.col("_corrupt_record").alias("bad"))
+    return typed.withColumnRenamed("_corrupt_record", "bad")
 
 
 def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "mentions")
     tables.mention_lines(spark, sf_dir).write.text(path)
-    return datasets.read_dataset(spark, path, "mentions").select(*_MENTION_FIELDS)
+    return datasets.read_dataset(spark, path, "mentions").drop("_corrupt_record")
 
 
 def unzipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,13 +307,7 @@ def scene_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pixels = tables.pixels(spark, sf_dir)
-    shown = None
-    for name in scenes.COMBINATIONS:
-        one = scenes.band_composite(pixels, name, "pixel_id")
-        one = one.withColumn("combination", F.lit(name))
-        shown = one if shown is None else shown.unionByName(one)
-    return shown
+    return scenes.band_composites(tables.pixels(spark, sf_dir), "pixel_id")
 
 
 QUERIES = {
@@ -322,7 +318,7 @@ QUERIES = {
         entity_names, top_themes, top_persons, top_organizations, top_locations,
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
         record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields,
-        latest_files, route_dataset, new_files, typed_records, typed_events, typed_mentions,
+        latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
         typed_files, unzipped_lines, stream_ingest, preview_transpose, scene_search,
         scenes_found, scene_bands, band_composite,
     )

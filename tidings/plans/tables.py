@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tidings.functions.entities import bind
 from tidings.functions.files import DATASET_MARKS
-from tidings.schemas import schema_of
 
 # What stands for each entity column: a pattern and the group to take from it.
 PATTERNS = {
@@ -78,46 +77,51 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("Words"))
 
 
-def _lines(df: DataFrame, kind: str, values: dict[str, Column]) -> DataFrame:
-    empty = F.lit("")
-    fields = [
-        F.coalesce(values[c].cast("string"), empty) if c in values else empty
-        for c in schema_of(kind).names
-    ]
-    return df.select(F.concat_ws("\t", *fields).alias("line"))
+def _lines(df: DataFrame, fields: int, key: str, values: dict[int, Column]) -> DataFrame:
+    """Lines whose field ``i`` is ``values[i]`` or a number that no other field of the line has."""
+    number = F.col(key).cast("bigint") % 1000 * 100
+    cells = [values[i] if i in values else number + i for i in range(fields)]
+    texts = [F.coalesce(cell.cast("string"), F.lit("")) for cell in cells]
+    return df.select(F.concat_ws("\t", *texts).alias("line"))
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = records(spark, sf_dir)
-    return _lines(df, "gkg", {c: F.col(c) for c in df.columns})
+    return _lines(records(spark, sf_dir), 27, "GKGRECORDID", {
+        0: F.col("GKGRECORDID"),
+        1: F.col("DATE"),
+        7: F.col("Themes"),
+        9: F.col("Locations"),
+        11: F.col("Persons"),
+        13: F.col("Organizations"),
+        23: F.col("AllNames"),
+    })
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event line per row of ``events``; the address field holds quoted JSON."""
-    return _lines(table(spark, sf_dir, "events"), "events", {
-        "GLOBALEVENTID": F.col("event_id"),
-        "SQLDATE": F.date_format("ts", "yyyyMMdd"),
-        "MonthYear": F.date_format("ts", "yyyyMM"),
-        "Year": F.date_format("ts", "yyyy"),
-        "Actor1Code": F.col("user_id"),
-        "EventCode": F.col("event_type"),
-        "AvgTone": F.col("value"),
-        "DATEADDED": _stamp(F.col("ts")),
-        "SOURCEURL": F.col("props"),
+    return _lines(table(spark, sf_dir, "events"), 61, "event_id", {
+        0: F.col("event_id"),
+        1: F.date_format("ts", "yyyyMMdd"),
+        2: F.date_format("ts", "yyyyMM"),
+        3: F.date_format("ts", "yyyy"),
+        5: F.col("user_id"),
+        26: F.col("event_type"),
+        34: F.col("value"),
+        59: _stamp(F.col("ts")),
+        60: F.col("props"),
     })
 
 
 def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One mention line per row of ``lineitem``."""
-    return _lines(table(spark, sf_dir, "lineitem"), "mentions", {
-        "GLOBALEVENTID": F.col("l_orderkey"),
-        "EventTimeDate": _stamp(F.col("l_shipdate")),
-        "MentionTimeDate": _stamp(F.col("l_shipdate")),
-        "MentionType": F.col("l_linenumber"),
-        "MentionSourceName": F.col("l_returnflag"),
-        "MentionIdentifier": F.col("l_partkey"),
-        "Confidence": F.col("l_quantity").cast("int"),
-        "MentionDocTone": F.col("l_discount"),
+    return _lines(table(spark, sf_dir, "lineitem"), 16, "l_orderkey", {
+        0: F.col("l_orderkey"),
+        2: _stamp(F.col("l_shipdate")),
+        3: F.col("l_linenumber"),
+        4: F.col("l_returnflag"),
+        5: F.col("l_partkey"),
+        11: F.col("l_quantity").cast("int"),
+        13: F.col("l_discount"),
     })
 
 

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidings.functions import files as f
-from tidings.operators.records import day_number, master_view, multi_entity, on_day
+from tidings.operators.records import master_view, multi_entity, on_day
 from tidings.schemas import CORRUPT, parse_schema, schema_of
 
 # What ingest adds to every row.
 ORIGIN = (
     f"dataset string, source_file string, ingest_time timestamp, {CORRUPT} string, "
-    "ingest_error string, ds int"
+    "ingest_error string, bytes_replaced boolean, ds int"
 )
 _TEXT = {"sep": "\t", "quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -38,19 +37,24 @@ def parse_lines(df: DataFrame, kind: str, col: str = "line") -> DataFrame:
     return parsed.select(*others, "_row.*")
 
 
-def load_records(spark: SparkSession, root: str, day=None, kind: str = "gkg") -> DataFrame:
-    """A stored dataset, all of it or one day; the day is a partition filter."""
+def _stored(spark: SparkSession, root: str, kind: str) -> DataFrame:
     schema = StructType(schema_of(kind).fields + StructType.fromDDL(ORIGIN).fields)
-    stored = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{kind}")
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{kind}")
+
+
+def load_records(spark: SparkSession, root: str, day=None, kind: str = "gkg") -> DataFrame:
+    """A stored dataset, all of it or one day; the day is a partition filter.
+
+    The rows that stand for unreadable archives are in ``load_quarantine`` only.
+    """
+    stored = _stored(spark, root, kind).where("ingest_error IS NULL")
     return stored if day is None else on_day(stored, day)
 
 
-def load_files(spark: SparkSession, path: str, day=None, kind: str = "gkg") -> DataFrame:
-    """Parquet files in one flat folder, told apart by the day their name starts with."""
-    glob = "*.parquet" if day is None else f"{day_number(day)}*.parquet"
-    found = spark.read.schema(schema_of(kind)).option("pathGlobFilter", glob).parquet(path)
-    name = F.col("_metadata.file_name")
-    return found.select("*", name.alias("source_file"), f.day_of(name).alias("ds"))
+def load_quarantine(spark: SparkSession, root: str, kind: str = "gkg") -> DataFrame:
+    """Archives and members that could not be read: their file, time and error."""
+    stored = _stored(spark, root, kind).where("ds IS NULL AND ingest_error IS NOT NULL")
+    return stored.select("dataset", "source_file", "ingest_time", "ingest_error")
 
 
 def register_views(spark: SparkSession, root: str, day) -> None:

@@ -14,13 +14,16 @@ from tidings.sources.datasets import parse_lines, read_dataset
 _MARK_OF = {dataset: mark for mark, dataset in f.DATASET_MARKS.items()}
 
 
-def _with_origin(rows: DataFrame, kind: str, name: Column, error: Column) -> DataFrame:
+def _with_origin(
+    rows: DataFrame, kind: str, name: Column, error: Column, replaced: Column
+) -> DataFrame:
     return rows.select(
         *parse_schema(kind).names,
         F.lit(kind).alias("dataset"),
         name.alias("source_file"),
         F.current_timestamp().alias("ingest_time"),
         error.cast("string").alias("ingest_error"),
+        replaced.cast("boolean").alias("bytes_replaced"),
         F.when(error.isNull(), f.day_of(name)).alias("ds"),
     )
 
@@ -29,17 +32,19 @@ def typed_archives(archives: DataFrame, kind: str) -> DataFrame:
     """Typed rows of the archives that belong to ``kind``, with their origin.
 
     An unreadable archive or member gives one row without ``ds`` and with
-    ``ingest_error``; a malformed line keeps its text in ``_corrupt_record``.
+    ``ingest_error``; a malformed line keeps its text in ``_corrupt_record``,
+    and ``bytes_replaced`` marks a line with bytes that are not UTF-8.
     """
     wanted = archives.where(f.dataset_of("path") == kind)
     rows = parse_lines(unzip_lines(wanted), kind)
-    return _with_origin(rows, kind, f.base_name("path"), F.col("error"))
+    return _with_origin(rows, kind, f.base_name("path"), F.col("error"), F.col("replaced"))
 
 
 def typed_texts(rows: DataFrame, kind: str) -> DataFrame:
     """The same for rows of ``read_dataset``."""
     name = F.col("_metadata.file_name")
-    return _with_origin(rows.where(f.dataset_of(name) == kind), kind, name, F.lit(None))
+    rows = rows.where(f.dataset_of(name) == kind)
+    return _with_origin(rows, kind, name, F.lit(None), F.lit(None))
 
 
 def start_ingest(
