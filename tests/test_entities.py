@@ -174,3 +174,16 @@ def test_mentions_of_whole_strings(spark):
     df = spark.createDataFrame([(t,) for t in THEMES], "Themes string")
     rows = mentions.top_mentions(df, "Themes", exploded=False).collect()
     assert {r.Themes: r["count"] for r in rows} == {"A;B": 2, "B": 1, "A;": 1, None: 1}
+
+
+def test_name_counts_in_sql(spark):
+    """The SQL function gives the same runs as the column function."""
+    entities.register_functions(spark)
+    df = spark.createDataFrame(
+        [("B,1;A,2;B,3;;",), ("",), (None,), ("x",), (";".join(f"n{i % 700}" for i in range(2000)),)],
+        "AllNames string")
+    got = spark.sql(
+        "SELECT AllNames, name_counts(AllNames) AS runs FROM {df}", df=df)
+    rows = got.select("runs", entities.name_runs(entities.entity_names("AllNames")).alias("wanted")).collect()
+    assert [r.runs for r in rows] == [r.wanted for r in rows]
+    assert sum(x.n for x in rows[-1].runs) == 2000
