@@ -73,10 +73,12 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         hashes.alias("hashes"))
     repeated = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    return rows.select(
-        "doc", "doc_id", "host", "n_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        F.when(repeated, _repeat_words(F.col("hashes"))).otherwise(0).cast("bigint").alias("n_repeat_words"),
-    ).withColumn("base_failed", F.expr(BASE_FAILED))
+    n_repeat = F.when(repeated, _repeat_words(F.col("hashes"))).otherwise(0).cast("bigint")
+    # Exploded from an array of one: a filter on a measure then reads its value, and is not pushed
+    # below with the whole computation copied into it.
+    one = F.struct("n_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines", n_repeat.alias("n_repeat_words"))
+    rows = rows.select("doc", "doc_id", "host", F.explode(F.array(one)).alias("m"))
+    return rows.select("doc", "doc_id", "host", "m.*").withColumn("base_failed", F.expr(BASE_FAILED))
 
 
 def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
