@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
 _MARK = SPACE_MARK.encode()
-# Cached chunks of a worker; when full the cache starts anew, which changes no result.
-CACHE_CHUNKS = 600_000
+# Cached chunks of a worker, and the longest one kept, which bound a worker's memory (some 50 MB, held
+# as long as the worker lives); when full the cache starts anew. Neither changes a result.
+CACHE_CHUNKS = 120_000
+CACHED_CHARS = 64
 
 ENCODED = (
     "doc_id bigint, ids array<int>, starts array<int>, ends array<int>, decoded string"
@@ -196,9 +198,11 @@ class _Chunks(dict):
         self.encode = encode
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_CHUNKS:
-            self.clear()
-        ids = self[chunk] = tuple(self.encode(chunk))
+        ids = tuple(self.encode(chunk))
+        if len(chunk) <= CACHED_CHARS:
+            if len(self) >= CACHE_CHUNKS:
+                self.clear()
+            self[chunk] = ids
         return ids
 
 

@@ -86,8 +86,9 @@ def _word_cost(piece: str, ranks: dict[str, int]) -> float | None:
 def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """Least power of ten of the guesses for ``value``, and the segments that reach it.
 
-    ``best[i]`` is the least cost of the first ``i`` characters. Runs of one kind that go on
-    (brute force, repeats) are kept as states, so the work is linear in the length of the value.
+    ``best[i]`` is the least cost of the first ``i`` characters. Runs that go on (brute force,
+    repeats, walks, sequences) are kept as states, so the work is linear in the length of the
+    value; a repeat, walk or sequence is taken from where its run begins and may end anywhere.
     """
     n = len(value)
     low, near = value.lower(), _neighbours()
