@@ -190,6 +190,16 @@ def test_a_hot_text_without_ids(spark):
     assert len(loads) == 24 and max(loads) < 1.01 * sum(loads) / 24
 
 
+def test_few_rows_move_to_a_new_shard(spark):
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.xxhash64("id") % 400 + 400).cast("int")).alias("text"))
+    before, after = (
+        {r.doc_id: (r.cell, r.shard) for r in sharding.shard_rows(docs, shards=n).collect()} for n in (24, 25))
+    assert all(before[i][0] == after[i][0] for i in before)
+    # 1/25 has to move; the rest is overflow of the bound.
+    assert 0.03 < sum(before[i][1] != after[i][1] for i in before) / 20_000 < 0.15
+
+
 def test_edge_shards(edge, empty):
     check_shards(sharding.shard_rows(edge).collect(), [r[:2] for r in edge_rows()])
     check_shards(sharding.shard_rows(edge, shards=1).collect(), [r[:2] for r in edge_rows()], 1)
