@@ -1,0 +1,49 @@
+"""Texts with the content of an added token, against the library as its file sets it up."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidings.llm import queries, records
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "a", "word.", ",", " ", "  ", "\n", "é"])
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def encoded(text):
+    return np.frombuffer(records.token_bytes(PATH)([text])[0], "<u2").tolist()
+
+
+def test_an_added_token_is_one_id(library):
+    text = "a <|endoftext|> b"
+    assert encoded(text) == library(text) == [64, 220, 50256, 275]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=12).map("".join))
+def test_texts_are_encoded_as_by_the_library(library, text):
+    assert encoded(text) == library(text)
+
+
+def test_query(spark, tmp_path, library):
+    rows = [(1, "one <|endoftext|> two"), (2, "three")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start, expected = 0, []
+    for i, text in rows:
+        ids = [*library(text), 0]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, queries.op3_records(spark, str(tmp_path)).collect())) == expected

@@ -78,6 +78,7 @@ class TokenBytes:
     between other characters, and before the full stops and commas behind a letter; a line feed
     that stands alone is a token itself. Merges stay inside tokens. So words are encoded by the
     library one by one, each distinct one once; a text with white space in a row, as a whole.
+    So is a text with the content of an added token, which the library takes out before the pattern.
     """
 
     _SPACE = r"[\s\x1c-\x1f\x85]"  # white space by any definition
@@ -86,12 +87,13 @@ class TokenBytes:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._tokenizer = tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._kind = {2: "H", 4: "I"}[self.width]
         kind = type(tokenizer.pre_tokenizer).__name__
         self.by_word = kind == "ByteLevel" and tokenizer.normalizer is None
+        added = sorted(re.escape(x.content) for x in tokenizer.get_added_tokens_decoder().values())
+        self._whole = re.compile("|".join([self._RUN.pattern, *added]))
         # Tokens of words at the start of a line, of words behind a space, and of full stops.
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
@@ -124,7 +126,7 @@ class TokenBytes:
         if not self.by_word:
             return self._encode(texts)
         out: list = [None] * len(texts)
-        whole = [i for i, x in enumerate(texts) if self._RUN.search(x)]
+        whole = [i for i, x in enumerate(texts) if self._whole.search(x)]
         for i, tokens in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = tokens
         lines = [None if x is not None else [y.split(" ") for y in texts[i].split("\n")] for i, x in enumerate(out)]
