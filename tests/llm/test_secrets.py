@@ -115,6 +115,30 @@ def test_hard_values_in_contexts_are_added():
     assert "Tr0ub4dor&3xQ9z" in values and "zX9$kLm2@Qw7" in values and "password123" not in values
 
 
+@pytest.mark.parametrize("text, value", [
+    ("DB_PASSWORD='k#9$Lq!v2&Zx'", "k#9$Lq!v2&Zx"),
+    ("export MYSQL_PWD=vT7!xQ2#pL9z\n", "vT7!xQ2#pL9z"),
+    ("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLE01", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLE01"),
+    ("DB_PASSWORD=Tr0ub4dor&3xQ9z!k", "Tr0ub4dor&3xQ9z!k"),
+    ('{"app.tokens-old": "zX9$kLm2@Qw7"}', "zX9$kLm2@Qw7"),
+    ("PGPASSWORD=zX9$kLm2@Qw7", "zX9$kLm2@Qw7"),
+])
+def test_keywords_inside_names(text, value):
+    assert [text[a:b] for a, b, _ in s.guess_spans(text, RANKS)] == [value]
+    assert value not in s.redacted(text, s.all_spans(s.base_spans(text), s.guess_spans(text, RANKS)))
+
+
+def test_words_that_hold_a_keyword_are_no_contexts():
+    text = "author: Tchaikovsky99x, compass = northeastward, secretary: Vandenberghe7, passengers: K9xq2Lm7vT"
+    assert s.guess_spans(text, RANKS) == []
+
+
+def test_long_names_take_linear_time():
+    start = time.time()
+    assert s.guess_spans("pass" * 100_000 + " " + "a-" * 100_000 + "=1", RANKS) == []
+    assert time.time() - start < 10
+
+
 def test_long_values_take_linear_time():
     start = time.time()
     assert s.guess_cost("xK9qL2" * 20_000, RANKS)[0] > 100

@@ -29,10 +29,15 @@ _ASSIGN = re.compile(
     r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-# Wider contexts for the guess cost: more names, values of any visible characters.
-_CONTEXT = re.compile(
-    r"""(?ai:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth))"""
-    r"""["']?\x20*[:=]\x20*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+))""")
+# Wider contexts for the guess cost: a name that holds a keyword, and a value of any visible
+# characters. A name is read once from its start, so long names take linear time.
+_NAME = re.compile(r"""(?<![\w.-])([\w.-]++)["']?\x20*[:=]\x20*""")
+_KEY = re.compile(r"(?ai:pass|pwd|secret|token|api[_-]?key|credential|auth)")
+_VALUE = re.compile(r""""([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+)""")
+# Ordinary words that hold a keyword.
+_ORDINARY = re.compile(
+    r"(?ai:author(?!iz)[a-z]*|authentic(?:ity)?(?![a-z])|passages?(?![a-z])|passengers?|passports?"
+    r"|passi(?:on|ve)[a-z]*|compass[a-z]*|bypass[a-z]*|secretar[a-z]*)")
 # A cheap test that every context passes.
 _HINT = re.compile(r"(?ai:pass|pwd|secret|token|api[_-]?key|credential|auth)")
 
@@ -158,13 +163,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def guess_spans(text: str, ranks: dict[str, int], least: float = MIN_GUESSES) -> list[tuple[int, int, str]]:
     """Values in credential contexts that cost at least ``10 ** least`` guesses."""
-    found = []
+    found, at = [], 0
     if _HINT.search(text):
-        for m in _CONTEXT.finditer(text):
-            group = m.lastindex
-            value = m[group]
-            if len(value) >= 6 and guess_cost(value, ranks)[0] >= least:
-                found.append((*m.span(group), "guess"))
+        while name := _NAME.search(text, at):
+            at = name.end()
+            if not _KEY.search(_ORDINARY.sub("", name[1])):
+                continue
+            m = _VALUE.match(text, at)
+            if m:
+                at = m.end()
+                value = m[m.lastindex]
+                if len(value) >= 6 and guess_cost(value, ranks)[0] >= least:
+                    found.append((*m.span(m.lastindex), "guess"))
     return found
 
 
