@@ -85,6 +85,22 @@ def test_edited_texts(spark, docs):
     assert np.mean(errors) < 0.08
 
 
+def test_error_over_all_documents(docs):
+    """Every text against itself with its last half replaced, short ones too."""
+    texts = [d.text for d in docs]
+    edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, texts[1:] + texts[:1])]
+    whole = [[np.unique(h) for h in t.shingles(pa.array(x, pa.string()))] for x in (texts, edited)]
+    errors, sizes = [], []
+    for own, new in zip(*whole):
+        true = f.likeness(own, new)[0]
+        errors.append(f.likeness(f.sketch(own), f.sketch(new))[0] - true)
+        sizes.append(len(own))
+    errors, sizes = np.array(errors), np.array(sizes)
+    short = errors[sizes < 160]
+    assert len(short) > 20
+    assert np.sqrt(np.mean(errors**2)) < 0.05 and np.sqrt(np.mean(short**2)) < 0.08
+
+
 @pytest.mark.parametrize("parts", [1, 3, 8])
 def test_edge_rows(spark, edge, parts):
     spark.conf.set("spark.sql.shuffle.partitions", parts)
