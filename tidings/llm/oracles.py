@@ -35,10 +35,14 @@ WITH RECURSIVE d AS (
   SELECT doc_id, {_WORDS.replace("coalesce(text, '')",
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents
+), i AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS x0, unnest(range(len(w))) AS at FROM d
+), g AS (
+  SELECT doc_id, n, at, x0, lead(x0, 1) OVER p AS x1, lead(x0, 2) OVER p AS x2, lead(x0, 3) OVER p AS x3,
+    lead(x0, 4) OVER p AS x4
+  FROM i WINDOW p AS (PARTITION BY doc_id ORDER BY at)
 ), s AS (
-  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
-    ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2))]) END) AS x
-  FROM d
+  SELECT DISTINCT doc_id, concat_ws(' ', x0, x1, x2, x3, x4) AS x FROM g WHERE at + 5 <= n OR (at = 0 AND n < 5)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
@@ -91,8 +95,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), x AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM x GROUP BY ALL HAVING count(DISTINCT k) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM x SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT s.lang, s.source, coalesce(t.n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) s
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) t USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (kept.n + 2)) // (l.n + 2 * l.v) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLES = {
     "op4_chats": _CHATS,
     "op5_near_duplicates": _NEAR_DUPLICATES,
     "op6_quality": _QUALITY,
+    "op13_divergence": _DIVERGENCE,
 }

@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import chat, fingerprint, lm, mixing, neardup, pieces, quality, records, secrets, sharding
+from tidings.llm import (
+    chat, counts, divergence, fingerprint, lm, mixing, neardup, pieces, quality, records, resampling, secrets,
+    sharding,
+)
 from tidings.llm.oracles import ORACLES  # noqa: F401
 from tidings.llm.textops import read_table
 from tidings.session import new_path, stage
@@ -70,6 +73,18 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_documents(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_pieces": op2_pieces,
@@ -81,4 +96,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_shards": op9_shards,
     "op10_mix": op10_mix,
+    "op11_token_counts": op11_token_counts,
+    "op12_resampling": op12_resampling,
+    "op13_divergence": op13_divergence,
 }
