@@ -36,13 +36,13 @@ WITH RECURSIVE d AS (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
   FROM documents
 ), i AS (
-  SELECT doc_id, len(w) AS n, unnest(w) AS x0, unnest(range(len(w))) AS at FROM d
+  SELECT doc_id, len(w) AS n, unnest(w) AS x0, unnest(range(len(w))) AS place FROM d
 ), g AS (
-  SELECT doc_id, n, at, x0, lead(x0, 1) OVER p AS x1, lead(x0, 2) OVER p AS x2, lead(x0, 3) OVER p AS x3,
+  SELECT doc_id, n, place, x0, lead(x0, 1) OVER p AS x1, lead(x0, 2) OVER p AS x2, lead(x0, 3) OVER p AS x3,
     lead(x0, 4) OVER p AS x4
-  FROM i WINDOW p AS (PARTITION BY doc_id ORDER BY at)
+  FROM i WINDOW p AS (PARTITION BY doc_id ORDER BY place)
 ), s AS (
-  SELECT DISTINCT doc_id, concat_ws(' ', x0, x1, x2, x3, x4) AS x FROM g WHERE at + 5 <= n OR (at = 0 AND n < 5)
+  SELECT DISTINCT doc_id, concat_ws(' ', x0, x1, x2, x3, x4) AS x FROM g WHERE place + 5 <= n OR (place = 0 AND n < 5)
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
