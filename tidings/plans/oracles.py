@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidings.plans.queries import DAY, DAYS, LATEST, POINT, TOP
+from tidings.plans.queries import DAY, DAYS, EVENT_DAYS, LATEST, MENTION_DAYS, POINT, STEPS, TOP
 from tidings.plans.tables import FIRST_STAMP, PATTERNS
 
 # Fixed values, written out once more so that the SQL does not follow the code it checks: bands of
@@ -195,6 +195,35 @@ def _daily_line(result: str, counts: str) -> str:
         cast(sum(count) AS BIGINT) AS mentions FROM ({counts})"""
 
 
+def _entity_rank() -> str:
+    """Every step written out; ranks are whole parts of 10**15."""
+    steps = [f"""
+    r0 AS MATERIALIZED (SELECT nm, {10**15} // (SELECT count(*) FROM node) AS r FROM node)"""]
+    for i in range(STEPS):
+        steps.append(f"""
+    r{i + 1} AS MATERIALIZED (
+        SELECT node.nm, base + coalesce(given, 0) * 85 // 100 AS r
+        FROM node LEFT JOIN (
+            SELECT dst, sum(cast(floor(cast(r AS DOUBLE) * share) AS BIGINT)) AS given
+            FROM r{i} JOIN link ON src = nm GROUP BY dst) ON dst = node.nm
+        CROSS JOIN (
+            SELECT (15 * {10**15}::HUGEINT + 85 * coalesce(sum(r) FILTER (links = 0), 0))
+                   // (100 * count(*)) AS base
+            FROM r{i} JOIN node USING (nm)))""")
+    return _pairs("AllNames") + f""",
+    every AS (SELECT name_a AS src, name_b AS dst, count FROM counts WHERE name_a <> name_b),
+    link AS MATERIALIZED (
+        SELECT src, dst, cast(count AS DOUBLE) / cast(sum(count) OVER (PARTITION BY src) AS DOUBLE) AS share
+        FROM every),
+    node AS MATERIALIZED (
+        SELECT nm, coalesce(n, 0) AS links FROM (SELECT DISTINCT nm FROM x)
+        LEFT JOIN (SELECT src AS nm, count(*) AS n FROM link GROUP BY src) USING (nm)),
+    {",".join(steps)}
+    SELECT row_number() OVER (ORDER BY r DESC, nm) AS rn, nm AS name, links,
+           cast(r AS DOUBLE) / 1e15 AS rank
+    FROM r{STEPS} JOIN node USING (nm)"""
+
+
 ORACLES = {
     "cooc_weighted": _pairs("AllNames") + _WEIGHTED,
     "cooc_counts": _pairs("AllNames") + " SELECT * FROM counts",
@@ -213,6 +242,7 @@ ORACLES = {
         FROM m a JOIN m b USING (k)""",
     "cooc_sql_function": _pairs("AllNames") + " SELECT * FROM counts",
     "cooc_sql_names": _pairs("AllNames") + " SELECT * FROM counts",
+    "entity_rank": _entity_rank(),
     "multi_entity_filter": f"""
         SELECT AllNames FROM ({_RECORDS}) WHERE AllNames LIKE '%;%'""",
     "split_items": f"""
@@ -249,6 +279,18 @@ ORACLES = {
         _daily_line("organizations", _top("Organizations")),
     ]),
     "stored_json": _top("Organizations"),
+    "event_mentions": f"""
+        SELECT event_id AS GLOBALEVENTID, cast(strftime(ts, '%Y%m%d') AS INTEGER) AS ds,
+               event_type AS EventCode, value AS AvgTone, mention_MentionTimeDate,
+               mention_MentionType, mention_Confidence
+        FROM events LEFT JOIN (
+            SELECT l_orderkey, cast(strftime(l_shipdate, '%Y%m%d%H%M%S') AS BIGINT) AS mention_MentionTimeDate,
+                   cast(l_linenumber AS INTEGER) AS mention_MentionType,
+                   cast(trunc(l_quantity) AS INTEGER) AS mention_Confidence
+            FROM lineitem
+            WHERE strftime(l_shipdate, '%Y%m%d') BETWEEN '{MENTION_DAYS[0]}' AND '{MENTION_DAYS[1]}'
+        ) ON l_orderkey = event_id
+        WHERE strftime(ts, '%Y%m%d') BETWEEN '{EVENT_DAYS[0]}' AND '{EVENT_DAYS[1]}'""",
     "url_extract": f"""
         SELECT url, split_part(url, '/', -1) AS file_name
         FROM (SELECT unnest(regexp_extract_all(url || ' ' || html, '{URL_BY_LABELS}', 0)) AS url

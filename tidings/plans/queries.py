@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from tidings.functions import entities, files
 from tidings.operators import cooccurrence as cooc
+from tidings.operators import events
 from tidings.operators import files as file_ops
-from tidings.operators import mentions, preview, ranking, records, scenes
+from tidings.operators import links, mentions, preview, ranking, records, scenes
 from tidings.plans import tables
 from tidings.plans.daily import run_daily
-from tidings.session import new_path
-from tidings.sources import archives, datasets, sinks
+from tidings.session import new_path, stage
+from tidings.sources import archives, bucketed, datasets, sinks
 from tidings.streaming.ingest import start_ingest
 
 TOP = 20
@@ -24,6 +25,12 @@ DAY = 20150220
 POINT = (-122.437, 37.72)
 DAYS = ("2024-01-05", "2024-01-25")
 LATEST = 10
+STEPS = 10
+EVENT_DAYS = (20240105, 20240124)
+MENTION_DAYS = (19960301, 20000229)
+BUCKETS = 16
+# So low that the given tables have heavy events.
+HEAVY_MENTIONS = 5
 
 
 # Co-occurrence ---------------------------------------------------------------
@@ -93,6 +100,14 @@ def cooc_sql_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def entity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks after a fixed number of steps, names without a partner included."""
+    found = stage(tables.records(spark, sf_dir).select("AllNames"), "names")
+    pairs = cooc.cooccurrence_counts(found, directed=False, self_pairs=False)
+    named = found.select(F.explode(entities.entity_names("AllNames")).alias("name"))
+    return links.link_rank(pairs, named, iterations=STEPS, tolerance=-1.0)
+
+
 # Items, mentions, ranks ------------------------------------------------------
 
 def multi_entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +208,25 @@ def stored_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stored.schema).json(f"{out}/organizations_json/run_ts={run_ts}")
 
 
+# Events ----------------------------------------------------------------------
+
+def event_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some days with their mentions of others, both stored in buckets first."""
+    found = datasets.parse_lines(tables.event_lines(spark, sf_dir), "events")
+    happened = stage(found.withColumn("ds", F.col("SQLDATE")).drop("_corrupt_record"), "events")
+    found = datasets.parse_lines(tables.mention_lines(spark, sf_dir), "mentions")
+    day = F.substring(F.col("MentionTimeDate").cast("string"), 1, 8).cast("int")
+    said = stage(found.withColumn("ds", day).drop("_corrupt_record"), "mentions")
+    stored = []
+    for df, label in ((happened, "events"), (said, "mentions")):
+        path = new_path(spark, label)
+        name = f"{label}_{path.rsplit('-', 1)[1]}"
+        stored.append(bucketed.write_bucketed(df, name, path, events.EVENT_KEY, BUCKETS, HEAVY_MENTIONS))
+    return events.events_with_mentions(
+        *stored, ["ds", "EventCode", "AvgTone"], ["MentionTimeDate", "MentionType", "Confidence"],
+        EVENT_DAYS, MENTION_DAYS, HEAVY_MENTIONS)
+
+
 # Files, manifests, typed scans -----------------------------------------------
 
 def url_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,10 +348,10 @@ QUERIES = {
     q.__name__: q
     for q in (
         cooc_weighted, cooc_counts, cooc_undirected, cooc_themes, cooc_themes_named, cooc_total,
-        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, multi_entity_filter, split_items,
+        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, entity_rank, multi_entity_filter, split_items,
         entity_names, top_themes, top_persons, top_organizations, top_locations,
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
-        record_times, view_rows, daily_report, stored_json, url_extract, manifest_fields,
+        record_times, view_rows, daily_report, stored_json, event_mentions, url_extract, manifest_fields,
         latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
         typed_files, unzipped_lines, stream_ingest, preview_transpose, scene_search,
         scenes_found, scene_bands, band_composite,

@@ -77,7 +77,26 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return out
 
 
+def stage_bucketed(df: DataFrame, label: str, buckets: int, *by: str) -> DataFrame:
+    """Write ``df`` to the work folder in ``buckets`` by some columns and return it as a table.
+
+    A join or aggregation by these columns reads the buckets as they lie: only the other side is
+    shuffled, however often the table is used.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    table = f"{label}_{path.rsplit('-', 1)[1]}"
+    # The hash that deals the rows is the one of the buckets: a task writes one file.
+    dealt = df.repartition(buckets, *by)
+    dealt.write.bucketBy(buckets, *by).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.staged_path, out.staged_table = path, table
+    return out
+
+
 def drop_staged(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for table in tables:
+        if getattr(table, "staged_table", None):
+            table.sparkSession.sql(f"DROP TABLE IF EXISTS {table.staged_table}")
         drop_path(table.sparkSession, table.staged_path)
