@@ -190,6 +190,21 @@ def _view_rows() -> str:
     )
 
 
+def _shown(days: dict[str, int]) -> str:
+    """Fields of the three datasets as ingest stores them; ``days`` of the files, where not the first."""
+    parts = [
+        ("gkg", "doc_id", "AllNames", "Locations", "doc_id % 1000 * 100 + 2",
+         f"(SELECT documents.doc_id, r.* FROM ({_RECORDS}) r JOIN documents ON cast(doc_id AS VARCHAR) = GKGRECORDID)"),
+        ("events", "event_id", "event_type", "props", "value", "events"),
+        ("mentions", "l_orderkey", "l_returnflag", "cast(l_partkey AS VARCHAR)", "l_discount", "lineitem"),
+    ]
+    return " UNION ALL ".join(
+        f"""SELECT '{kind}' AS dataset, cast({key} AS BIGINT) AS key, cast({days.get(kind, 20150218)} AS INTEGER) AS ds,
+            {first} AS first, {second} AS second, cast({number} AS DOUBLE) AS number, cast(NULL AS VARCHAR) AS bad
+            FROM {table}"""
+        for kind, key, first, second, number, table in parts)
+
+
 def _daily_line(result: str, counts: str) -> str:
     return f"""SELECT '{result}' AS result, count(*) AS rows,
         cast(sum(count) AS BIGINT) AS mentions FROM ({counts})"""
@@ -321,13 +336,11 @@ ORACLES = {
     "typed_files": f"SELECT {_MENTION_LINES} FROM lineitem",
     "unzipped_lines": f"""
         SELECT 'events' AS dataset, cast(NULL AS VARCHAR) AS error, {_EVENT_FIELDS} FROM events""",
-    "stream_ingest": """
-        SELECT 'gkg' AS dataset, count(*) AS rows, cast(sum(doc_id) AS BIGINT) AS keys,
-               cast(0 AS BIGINT) AS bad FROM documents
-        UNION ALL
-        SELECT 'events', count(*), cast(sum(event_id) AS BIGINT), 0 FROM events
-        UNION ALL
-        SELECT 'mentions', count(*), cast(sum(l_orderkey) AS BIGINT), 0 FROM lineitem""",
+    "stream_ingest": _shown({}),
+    "ingest_late_files": _shown({"gkg": 20140101}),
+    "quarantine_rows": """
+        SELECT 'other' AS dataset, page_id || chr(9) || url AS line, cast(NULL AS VARCHAR) AS error FROM pages
+        UNION ALL SELECT 'gkg', NULL, 'BadZipFile: File is not a zip file' FROM region""",
     "preview_transpose": _preview(),
     "scene_search": _SCENES_FOUND + " ORDER BY cloud_cover, scene_id LIMIT 1",
     "scenes_found": _SCENES_FOUND,

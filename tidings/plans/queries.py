@@ -16,8 +16,9 @@ from tidings.operators import files as file_ops
 from tidings.operators import links, mentions, preview, ranking, records, scenes
 from tidings.plans import tables
 from tidings.plans.daily import run_daily
-from tidings.session import new_path, stage
+from tidings.session import drop_path, new_path, stage
 from tidings.sources import archives, bucketed, datasets, sinks
+from tidings.streaming import ledger
 from tidings.streaming.ingest import start_ingest
 
 TOP = 20
@@ -295,27 +296,78 @@ def unzipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.select("dataset", "error", "GLOBALEVENTID", "EventCode", "AvgTone", "SOURCEURL")
 
 
+# Of each dataset: its key, two texts and a number.
+SHOWN = {
+    "gkg": ("GKGRECORDID", "AllNames", "Locations", "SourceCollectionIdentifier"),
+    "events": ("GLOBALEVENTID", "EventCode", "SOURCEURL", "AvgTone"),
+    "mentions": ("GLOBALEVENTID", "MentionSourceName", "MentionIdentifier", "MentionDocTone"),
+}
+
+
+def _shown(load) -> DataFrame:
+    """Key, day and fields of the rows of all datasets, and the text of lines that are malformed."""
+    out = None
+    for kind, (key, first, second, number) in SHOWN.items():
+        rows = load(kind).select(
+            F.lit(kind).alias("dataset"), F.col(key).cast("bigint").alias("key"), "ds", F.col(first).alias("first"),
+            F.col(second).alias("second"), F.col(number).cast("double").alias("number"),
+            F.col("_corrupt_record").alias("bad"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _land(lines: DataFrame, kind: str, folder: str, first: str = tables.FIRST_STAMP) -> None:
+    tables.archives(lines, kind, folder, first).write.format("noop").mode("overwrite").save()
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of all three datasets through the ingest queries, run twice."""
+    """The rows stored from archives of all three datasets by the ingest queries, run twice."""
     base = new_path(spark, "ingest")
     for kind, lines in tables.LINES.items():
-        written = tables.archives(lines(spark, sf_dir), kind, f"{base}/landed")
-        written.write.format("noop").mode("overwrite").save()
+        _land(lines(spark, sf_dir), kind, f"{base}/landed")
     for _ in range(2):
         running = start_ingest(spark, f"{base}/landed", f"{base}/stored", f"{base}/progress")
         for query in running.values():
             query.awaitTermination()
-    report = None
-    for kind, key in (("gkg", "GKGRECORDID"), ("events", "GLOBALEVENTID"),
-                      ("mentions", "GLOBALEVENTID")):
-        line = datasets.load_records(spark, f"{base}/stored", kind=kind).agg(
-            F.count("*").alias("rows"),
-            F.sum(F.col(key).cast("bigint")).alias("keys"),
-            F.count("_corrupt_record").alias("bad"),
-        )
-        line = line.select(F.lit(kind).alias("dataset"), "rows", "keys", "bad")
-        report = line if report is None else report.unionByName(line)
-    return report
+    return _shown(lambda kind: datasets.load_records(spark, f"{base}/stored", kind=kind))
+
+
+def ingest_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the ledger after files came late, came again under their name, and a batch was repeated."""
+    base = new_path(spark, "ledger")
+    landed, root, progress = f"{base}/landed", f"{base}/stored", f"{base}/progress"
+
+    def run() -> None:
+        ledger.start_ledger_ingest(spark, f"{landed}/*", root, progress).awaitTermination()
+
+    _land(tables.mention_lines(spark, sf_dir), "mentions", f"{landed}/a")
+    _land(tables.event_lines(spark, sf_dir), "events", f"{landed}/a")
+    run()
+    # Stamps before all that is stored.
+    _land(tables.record_lines(spark, sf_dir), "gkg", f"{landed}/b", "2014-01-01 00:00:00")
+    run()
+    # The names of the first run in another folder, with other lines.
+    other = tables.event_lines(spark, sf_dir).select(F.concat(F.lit("9"), "line").alias("line"))
+    _land(other, "events", f"{landed}/c")
+    run()
+    # As if the second batch had stopped before its end.
+    drop_path(spark, f"{progress}/commits/2")
+    drop_path(spark, f"{progress}/commits/1")
+    run()
+    return _shown(lambda kind: ledger.load_ingested(spark, root, kind))
+
+
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of files of no known dataset, and what could not be unpacked, next to events that could."""
+    base = new_path(spark, "quarantine")
+    _land(tables.event_lines(spark, sf_dir), "events", f"{base}/landed")
+    _land(tables.page_lines(spark, sf_dir), "notes", f"{base}/landed")
+    regions = tables.table(spark, sf_dir, "region")
+    tables.land(regions.select(
+        F.concat(F.lit("2015022000000"), F.col("r_regionkey").cast("string"), F.lit(".gkg.csv.zip")).alias("name"),
+        F.col("r_name").cast("binary").alias("content")), f"{base}/landed")
+    ledger.start_ledger_ingest(spark, f"{base}/landed", f"{base}/stored", f"{base}/progress").awaitTermination()
+    return ledger.load_raw(spark, f"{base}/stored").select("dataset", "line", "error")
 
 
 # Previews and scenes ---------------------------------------------------------
@@ -353,7 +405,7 @@ QUERIES = {
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
         record_times, view_rows, daily_report, stored_json, event_mentions, url_extract, manifest_fields,
         latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
-        typed_files, unzipped_lines, stream_ingest, preview_transpose, scene_search,
+        typed_files, unzipped_lines, stream_ingest, ingest_late_files, quarantine_rows, preview_transpose, scene_search,
         scenes_found, scene_bands, band_composite,
     )
 }

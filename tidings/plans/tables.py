@@ -125,26 +125,34 @@ def mention_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of no known dataset: one per row of ``pages``."""
+    return table(spark, sf_dir, "pages").select(F.concat_ws("\t", "page_id", "url").alias("line"))
+
+
 LINES = {"gkg": record_lines, "events": event_lines, "mentions": mention_lines}
 _MARK_OF = {dataset: mark for mark, dataset in DATASET_MARKS.items()}
 
 
-def archives(lines: DataFrame, kind: str, folder: str | None = None) -> DataFrame:
+def archives(
+    lines: DataFrame, kind: str, folder: str | None = None, first: str = FIRST_STAMP
+) -> DataFrame:
     """The lines packed into zip files, as ``path, content``.
 
     Each batch of each task becomes one archive, so nothing is shuffled or
-    grouped. With ``folder`` the archives are written there and ``content`` is
-    left empty.
+    grouped. Names begin with a stamp, from ``first`` on. A ``kind`` that is no
+    dataset stands in the name as it is. With ``folder`` the archives are written
+    there and ``content`` is left empty.
     """
-    mark = _MARK_OF[kind]
-    first = datetime.fromisoformat(FIRST_STAMP)
+    mark = _MARK_OF.get(kind, kind)
+    start = datetime.fromisoformat(first)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             # The name depends on task and batch only: a repeated task replaces
             # its files and adds none.
-            stamp = first + timedelta(minutes=15 * number)
+            stamp = start + timedelta(minutes=15 * number)
             name = f"{stamp:%Y%m%d%H%M%S}.{task:05d}.{mark}.csv"
             data = io.BytesIO()
             with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -152,12 +160,7 @@ def archives(lines: DataFrame, kind: str, folder: str | None = None) -> DataFram
                 archive.writestr(name, text.encode())
             path, content = f"{name}.zip", data.getvalue()
             if folder:
-                store, root = fs.FileSystem.from_uri(folder)
-                store.create_dir(root, recursive=True)
-                path = f"{root}/{path}"
-                with store.open_output_stream(path) as out:
-                    out.write(content)
-                content = b""
+                path, content = _put(folder, path, content), b""
             yield pa.RecordBatch.from_arrays(
                 [pa.array([path], pa.string()), pa.array([content], pa.binary())],
                 names=["path", "content"],
@@ -166,6 +169,27 @@ def archives(lines: DataFrame, kind: str, folder: str | None = None) -> DataFram
     return lines.select("line").mapInArrow(pack, "path string, content binary")
 
 
+def _put(folder: str, name: str, content: bytes) -> str:
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    path = f"{root}/{name}"
+    with store.open_output_stream(path) as out:
+        out.write(content)
+    return path
+
+
+def land(files: DataFrame, folder: str) -> None:
+    """Write ``name, content`` as files of a folder."""
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, contents = (c.to_pylist() for c in batch.columns)
+            done = [_put(folder, name, content) for name, content in zip(names, contents)]
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["path"])
+
+    written = files.select("name", "content").mapInArrow(put, "path string")
+    written.write.format("noop").mode("overwrite").save()
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manifest line ``size checksum address`` per row of ``events``."""
     kind = (
