@@ -20,7 +20,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -94,3 +93,36 @@ def test_frames():
     body = records.body_of(None, b"\x01\x00\x02\x00", 2)
     doc_id, tokens, end = records.read_frame(memoryview(records.frame(body)), 0)
     assert doc_id is None and tokens.tolist() == [1, 2] and end == len(records.frame(body))
+
+
+PIECES = st.sampled_from([
+    "<|endoftext|>", "a", "word.", "don't", "x,'s", "...", ",", "-", "'", "'re", " ", "  ", "\n", "\t", "é", "é,", "\x85", "\xa0",
+    " ", "　", "“", "日本", "、", "😀", "12", "12.", "\x00", "fifteen bytes..", "sixteen letters!", "a\x00", "A" * 40,
+])
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=14).map("".join), max_size=6))
+def test_texts_of_a_slab_do_not_mix(texts):
+    untouched = Tokenizer.from_file(PATH)
+    got = [np.frombuffer(x, "<u2").tolist() for x in records.token_bytes(PATH)(texts)]
+    assert got == [untouched.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_pieces_of_one_hash_are_told_apart(monkeypatch, library, docs, same):
+    """Even where all hashes are equal, or few differ."""
+    monkeypatch.setattr(records.t, "mix", lambda x: x * np.uint64(0) if same else x % np.uint64(7))
+    encode = records.TokenBytes(PATH)
+    for _ in range(2):
+        for d in docs[:30]:
+            assert np.frombuffer(encode([d.text])[0], "<u2").tolist() == library(d.text)
+
+
+def test_a_full_table_starts_anew(monkeypatch, library, docs):
+    monkeypatch.setattr(records, "CACHE_PIECES", 50)
+    monkeypatch.setattr(records, "CACHE_LONG", 3)
+    encode = records.TokenBytes(PATH)
+    for d in docs[:60]:
+        assert np.frombuffer(encode([d.text])[0], "<u2").tolist() == library(d.text)
+    assert len(encode._table) < 60_000

@@ -18,11 +18,12 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ from tidings.llm import textops as t
 
 # Text bytes a file is made for; readers hold one file at a time.
 FILE_BYTES = 24 << 20
-# Cached words of a worker; when full the cache starts anew, which changes no result.
-CACHE_WORDS = 900_000
+# Remembered pieces of a worker, short ones and long ones, which bound its memory (some 60 bytes a
+# short piece) and change no result.
+CACHE_PIECES = 2_000_000
+CACHE_LONG = 100_000
 
 _HEAD, _SUM, _BODY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqBI")
 INDEX = (
@@ -71,74 +74,196 @@ def read_frame(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
     return doc_id if known else None, tokens, at + 12 + size + 5
 
 
+# Byte classes: white space, ASCII letters, and what makes a token of its own behind a letter (an
+# apostrophe may not).
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+# The first bytes of white space beyond ASCII, with what may follow.
+_FAR_BLANKS = {0xC2: (0x85, 0xA0), 0xE1: (0x9A, 0xA0), 0xE2: (0x80, 0x81), 0xE3: (0x80,)}
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class _Table:
+    """Tokens of the pieces seen so far: those of entry ``i`` are ``lengths[i]`` from ``starts[i]`` on.
+
+    Short pieces are found by a hash of their key, and the key is compared; long ones by their bytes.
+    """
+
+    def __init__(self, kind):
+        self._kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.long: dict[bytes, int] = {}
+        self._hashes = np.zeros(0, np.uint64)  # in order
+        self._of_hash = np.zeros(0, np.int64)
+        self._keys = np.zeros((0, 2), np.uint64)
+        self.starts = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.tokens = np.zeros(0, self._kind)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def find(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The entries of short pieces, -1 where there is none."""
+        if not len(self._hashes):
+            return np.full(len(hashes), -1)
+        place = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+        entry = self._of_hash[place]
+        same = (self._hashes[place] == hashes) & (self._keys[entry, 0] == low) & (self._keys[entry, 1] == high)
+        return np.where(same, entry, -1)
+
+    def add(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray, tokens: list[list[int]]) -> None:
+        """Append entries, first those of the short pieces given by hash and key, then others."""
+        count, short = len(self), len(hashes)
+        keys = np.zeros((len(tokens), 2), np.uint64)
+        keys[:short, 0], keys[:short, 1] = low, high
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        flat = np.fromiter(chain.from_iterable(tokens), self._kind, int(lengths.sum()))
+        self.starts = np.append(self.starts, len(self.tokens) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.tokens = np.append(self.tokens, flat)
+        self._keys = np.append(self._keys, keys, axis=0)
+        order = np.argsort(hashes)
+        place = np.searchsorted(self._hashes, hashes[order])
+        self._hashes = np.insert(self._hashes, place, hashes[order])
+        self._of_hash = np.insert(self._of_hash, place, count + order)
+
+
 class TokenBytes:
     """Tokens of whole texts as little-endian integers of the least width that holds all ids.
 
     The pattern of a byte-level model starts a new token at a space or line feed that stands alone
-    between other characters, and before the full stops and commas behind a letter; a line feed
-    that stands alone is a token itself. Merges stay inside tokens. So words are encoded by the
-    library one by one, each distinct one once; a text with white space in a row, as a whole.
-    So is a text with the content of an added token, which the library takes out before the pattern.
+    between other characters, and at a full stop or the like behind a letter; a line feed that
+    stands alone is a token itself. Merges stay inside tokens. So a slab of texts is cut at all
+    these places at once, equal pieces are numbered by their bytes, and the library gets the pieces
+    it has not had. A text with white space in a row is encoded as a whole, and so is a text with
+    the content of an added token, which the library takes out before the pattern.
     """
 
-    _SPACE = r"[\s\x1c-\x1f\x85]"  # white space by any definition
-    _RUN = re.compile(_SPACE + _SPACE)
+    _RUN = re.compile(r"[\s\x1c-\x1f\x85]{2}")  # white space by any definition
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
         tokenizer = Tokenizer.from_file(path)
         self._tokenizer = tokenizer
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._kind = {2: "H", 4: "I"}[self.width]
+        self._kind = np.dtype(f"<u{self.width}")
         kind = type(tokenizer.pre_tokenizer).__name__
-        self.by_word = kind == "ByteLevel" and tokenizer.normalizer is None
-        added = sorted(re.escape(x.content) for x in tokenizer.get_added_tokens_decoder().values())
-        self._whole = re.compile("|".join([self._RUN.pattern, *added]))
-        # Tokens of words at the start of a line, of words behind a space, and of full stops.
-        self._first: dict[str, bytes] = {}
-        self._later: dict[str, bytes] = {}
-        self._marks: dict[str, bytes] = {}
-        self._feed = self._encode(["\n"])[0]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self._kind, x.ids).tobytes() for x in found]
-
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> None:
-        new = words.difference(known)
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = words
-        bases = {}
-        for word in new:
-            base = word.rstrip(".,")
-            bases[word] = base if base and base[-1].isalpha() else word
-        missing = list({b for b in bases.values() if b not in known})
-        known.update(zip(missing, self._encode([lead + x for x in missing])))
-        for word, base in bases.items():
-            if word != base:
-                mark = word[len(base) :]
-                if mark not in self._marks:
-                    self._marks[mark] = self._encode([mark])[0]
-                known[word] = known[base] + self._marks[mark]
+        self.by_piece = kind == "ByteLevel" and tokenizer.normalizer is None
+        self._added = [x.content.encode() for x in tokenizer.get_added_tokens_decoder().values()]
+        self._table = _Table(self._kind)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._encode(texts)
-        out: list = [None] * len(texts)
-        whole = [i for i, x in enumerate(texts) if self._whole.search(x)]
-        for i, tokens in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = tokens
-        lines = [None if x is not None else [y.split(" ") for y in texts[i].split("\n")] for i, x in enumerate(out)]
-        self._learn(self._first, {y[0] for x in lines if x for y in x}, "")
-        self._learn(self._later, set().union(*(y[1:] for x in lines if x for y in x)), " ")
-        later = self._later.__getitem__
-        for i, text in enumerate(lines):
-            if text:
-                out[i] = self._feed.join([
-                    b"".join([self._first[line[0]], *map(later, line[1:])]) for line in text])
+        return [x.tobytes() for x in self.arrays(pa.array(texts, pa.large_string()))]
+
+    def arrays(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The tokens of every text of a column."""
+        for first, data, offsets in t.slabs(column):
+            whole = self._whole(data, offsets)
+            flat, ends = self._pieces(data, offsets, ~whole)
+            texts = column.take(pa.array(first + np.flatnonzero(whole))).to_pylist() if whole.any() else []
+            encoded = iter(self._encode(texts))
+            start = 0
+            for is_whole, end in zip(whole.tolist(), ends.tolist()):
+                yield np.array(next(encoded), self._kind) if is_whole else flat[start:end]
+                start = end
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which texts of a slab are encoded as a whole."""
+        n = len(offsets) - 1
+        if not self.by_piece:
+            return np.ones(n, bool)
+        out = np.zeros(n, bool)
+        blank = _BLANK[data]
+        at = np.flatnonzero(blank[1:] & blank[:-1])
+        row = np.searchsorted(offsets, at, "right") - 1
+        out[row[offsets[row + 1] > at + 1]] = True
+        far = np.flatnonzero(data >= 0xC2)
+        after = data[np.minimum(far + 1, len(data) - 1)] if len(data) else far
+        maybe = np.zeros(len(far), bool)
+        for lead, follow in _FAR_BLANKS.items():
+            maybe |= (data[far] == lead) & np.isin(after, follow)
+        raw = None
+        rows = np.unique(np.searchsorted(offsets, far[maybe], "right") - 1)
+        for i in rows[~out[rows]].tolist():
+            out[i] = self._RUN.search(data[offsets[i] : offsets[i + 1]].tobytes().decode()) is not None
+        for content in self._added:
+            raw = data.tobytes() if raw is None else raw
+            place = raw.find(content)
+            while place >= 0:
+                out[np.searchsorted(offsets, place, "right") - 1] = True
+                place = raw.find(content, place + 1)
         return out
 
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens of the wanted texts, and where those of each text end."""
+        cut = np.zeros(len(data) + 1, bool)
+        if len(data):
+            feed = data == 0x0A
+            cut[:-1] = (data == 0x20) | feed
+            cut[1:] |= feed
+            cut[1:-1] |= _LETTER[data[:-1]] & _STOP[data[1:]]
+        cut[offsets] = True
+        cut[-1] = False
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(data))
+        # Empty texts share their place with the next one.
+        row = np.searchsorted(offsets, starts, "right") - 1
+        kept = wanted[row] & (starts < len(data))
+        entry = self._entries(data, starts[kept], ends[kept])
+        table = self._table
+        lengths = table.lengths[entry]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        flat = table.tokens[np.repeat(table.starts[entry] - before[:-1], lengths) + np.arange(before[-1])]
+        return flat, before[np.searchsorted(row[kept], np.arange(len(wanted)), "right")]
+
+    def _entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The entry of every piece, learned where there is none."""
+        table = self._table
+        if len(table) > CACHE_PIECES or len(table.long) > CACHE_LONG:
+            table.clear()
+        sizes = ends - starts
+        # Up to 15 bytes and their number make a key, by which pieces are told apart exactly.
+        padded = np.append(data, np.zeros(16, np.uint8))
+        words = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))
+        low = words[starts] & _LOW_BYTES[np.minimum(sizes, 8)]
+        high = words[starts + 8 * (sizes > 8)] & _LOW_BYTES[np.clip(sizes - 8, 0, 7)]
+        high |= sizes.astype(np.uint64) << np.uint64(56)
+        codes, hashes = pd.factorize(t.mix(low + t.mix(high)))
+        head = np.empty(len(hashes), np.int64)  # the first piece of each hash
+        head[codes[::-1]] = np.arange(len(codes))[::-1]
+        first = head[codes]
+        # Long pieces, and those whose hash is that of another, are told apart by their bytes.
+        odd = (sizes > 15) | (low != low[first]) | (high != high[first])
+        entry_of = table.find(hashes, low[head], high[head])
+        new = np.flatnonzero((entry_of < 0) & ~odd[head])
+        raw = data.tobytes()
+        texts = [raw[a:b] for a, b in zip(starts[head[new]].tolist(), ends[head[new]].tolist())]
+        entry_of[new] = len(table) + np.arange(len(new))
+        odd_at = np.flatnonzero(odd)
+        odd_entry = []
+        for a, b in zip(starts[odd_at].tolist(), ends[odd_at].tolist()):
+            piece = raw[a:b]
+            if piece not in table.long:
+                table.long[piece] = len(table) + len(texts)
+                texts.append(piece)
+            odd_entry.append(table.long[piece])
+        if texts:
+            tokens = self._encode([x.decode() for x in texts])
+            table.add(hashes[new], low[head[new]], high[head[new]], tokens)
+        entry = entry_of[codes]
+        entry[odd_at] = odd_entry
+        return entry
+
 
 @lru_cache(maxsize=2)
 def token_bytes(path: str) -> TokenBytes:
@@ -165,12 +290,15 @@ def write_records(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
         encode = token_bytes(tokenizer_file)
         end = b"" if end_id is None else end_id.to_bytes(encode.width, "little")
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
+            frames, size = [], 0
+            for i, tokens in zip(batch.column(0).to_pylist(), encode.arrays(batch.column(1))):
                 # The writer adds the line feed.
-                tokens = encode(texts)
-                frames = [frame(body_of(i, x + end, encode.width))[:-1] for i, x in zip(ids, tokens)]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
+                frames.append(frame(body_of(i, tokens.tobytes() + end, encode.width))[:-1])
+                size += len(frames[-1])
+                if size > 1 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
+                    frames, size = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
 
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     frames = ordered.mapInArrow(run, "value binary")
