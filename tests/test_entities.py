@@ -187,3 +187,36 @@ def test_name_counts_in_sql(spark):
     rows = got.select("runs", entities.name_runs(entities.entity_names("AllNames")).alias("wanted")).collect()
     assert [r.runs for r in rows] == [r.wanted for r in rows]
     assert sum(x.n for x in rows[-1].runs) == 2000
+
+
+# --- the table function ---------------------------------------------------------------------------
+
+def test_pairs_as_rows(spark):
+    from itertools import product
+
+    from tidings.functions.pairs import register_pairs
+
+    register_pairs(spark)
+    lists = ["a,1;b,2;a,3", "x", "", None, "a;;b,;", "é;é,9"]
+    spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, names string").createOrReplaceTempView("lists")
+    rows = spark.sql("SELECT name_a, name_b, sum(n) AS n FROM name_pairs(TABLE(SELECT names FROM lists)) GROUP BY ALL").collect()
+    expected = Counter()
+    for text in lists:
+        if text is not None:
+            names = [x.split(",")[0] for x in text.split(";")]
+            expected.update(product(names, names))
+    assert {(r.name_a, r.name_b): r.n for r in rows} == expected
+
+
+def test_a_record_of_many_names_is_a_stream_of_rows(spark):
+    from tidings.functions.pairs import register_pairs
+
+    register_pairs(spark)
+    n = 20_000
+    names = spark.range(1).select(F.concat_ws(";", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: F.concat(F.lit("n"), x))).alias("names"))
+    names.createOrReplaceTempView("long_list")
+    df = spark.sql("""
+        SELECT count(*) AS rows, sum(n) AS pairs, count_if(name_a = name_b) AS same
+        FROM name_pairs(TABLE(SELECT names FROM long_list))""")
+    assert "array<array" not in df._jdf.queryExecution().executedPlan().toString()
+    assert tuple(df.first()) == (n * n, n * n, n)

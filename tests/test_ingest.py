@@ -15,6 +15,7 @@ import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidings.operators import files as file_ops
 from tidings.plans.daily import run_daily
@@ -251,6 +252,61 @@ def test_flat_files_with_inferred_types(spark, tmp_path):
     assert [(r.Themes, r.ds) for r in narrow.collect()] == [("T;U", 20171202)]
 
 
+def test_flat_files_are_read_by_row_groups_with_filters(spark, tmp_path):
+    """A value reads the same wherever it stands; filters and columns reach the scan; one file is several tasks."""
+    n = 60_000
+    numbers = [float(i % 5) if i % 2 else i + 0.5 for i in range(n)]
+    table = pd.DataFrame({
+        "GKGRECORDID": [float(i) for i in range(n)], "DATE": [20171201000000.0] * n, "Persons": numbers,
+        "Themes": [f"{i:064x}" for i in range(n)]})
+    for k in range(2):
+        table.to_parquet(f"{tmp_path}/2017120{k + 1}000000.gkg.csv.gzip.parquet", row_group_size=5000)
+    # Another type for the same column.
+    pd.DataFrame({"GKGRECORDID": ["x"], "Persons": ["5.0"]}).to_parquet(f"{tmp_path}/20171201001500.gkg.csv.gzip.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400k")
+    try:
+        found = flat_files.load_files(spark, str(tmp_path), 20171201, columns=["GKGRECORDID", "Persons", "DATE"])
+        few = found.select("GKGRECORDID", "Persons").where("DATE = 20171201000000 AND Persons IS NOT NULL")
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert found.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert "struct<DATE:double,GKGRECORDID:double,Persons:double>" in plan and "Themes" not in plan
+    assert "PushedFilters: [IsNotNull(DATE)" in plan or "PushedFilters: [IsNotNull(Persons)" in plan
+    assert "MapInArrow" not in plan and "binaryFile" not in plan
+    rows = {r.GKGRECORDID: r.Persons for r in found.collect()}
+    assert rows == {"x": "5.0"} | {str(i): str(i % 5) if i % 2 else str(i + 0.5) for i in range(n)}
+
+
+@pytest.mark.parametrize("values, kind, expected", [
+    ([1, 2**40, None], "int", [1, None, None]),
+    (["7", " 7", "7.5", "", None, "1e3", "-12"], "int", [7, None, None, None, None, None, -12]),
+    (["7", "1e3", "x", "0.25"], "double", [7.0, 1000.0, None, 0.25]),
+    ([1.9, -2.5, float("inf"), float("nan"), 1e300], "bigint", [1, -2, None, None, None]),
+    ([1.0, 2.5, float("inf"), 1e300, 1e18], "string", ["1", "2.5", "Infinity", "1.0E300", "1000000000000000000"]),
+    ([True, False, None], "string", ["true", "false", None]),
+    ([True, None], "int", [None, None]),
+    ([pd.Timestamp("2017-12-01")], "bigint", [None]),
+    ([b"a", None], "string", ["a", None]),
+])
+def test_inferred_values_as_declared(spark, tmp_path, values, kind, expected):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"v": pa.array(values, from_pandas=False)}), f"{tmp_path}/a.parquet")
+    stored = flat_files.stored_types(spark, str(tmp_path)).first().stored
+    read = spark.read.schema(stored).parquet(str(tmp_path))
+    wanted = T.StructType.fromDDL(f"v {kind}")["v"].dataType
+    got = read.select(flat_files.declared("v", read.schema["v"].dataType, wanted).alias("v"))
+    assert got.schema["v"].dataType == wanted and [r.v for r in got.collect()] == expected
+
+
+def test_a_flat_folder_without_files(spark, tmp_path):
+    none = flat_files.load_files(spark, str(tmp_path))
+    assert none.count() == 0 and none.columns == schema_of("gkg").names + ["source_file", "ds"]
+
+
 def test_late_files_and_repeated_names(spark, tmp_path):
     """The age of a file decides nothing: late files are taken, a name is taken once."""
     def land(folder, name, key, days):

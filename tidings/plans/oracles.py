@@ -102,6 +102,13 @@ _RECORDS = f"""
     FROM documents"""
 
 
+_FLAT = f"""
+    SELECT GKGRECORDID, DATE, cast(nullif(cast(GKGRECORDID AS BIGINT) % 7, 0) AS INTEGER) AS SourceCollectionIdentifier,
+           AllNames, CASE WHEN DATE // 1000000 % 3 <> 2 THEN Locations END AS Locations,
+           cast(DATE // 1000000 AS INTEGER) AS ds
+    FROM ({_RECORDS})"""
+
+
 def _top(column: str, name: str = "nm") -> str:
     return f"""SELECT {name} AS {column}, count(*) AS count
     FROM ({_names(column)}) GROUP BY 1"""
@@ -256,6 +263,7 @@ ORACLES = {
                a.n * b.n AS count
         FROM m a JOIN m b USING (k)""",
     "cooc_sql_function": _pairs("AllNames") + " SELECT * FROM counts",
+    "cooc_sql_pairs": _pairs("AllNames") + " SELECT * FROM counts",
     "cooc_sql_names": _pairs("AllNames") + " SELECT * FROM counts",
     "entity_rank": _entity_rank(),
     "multi_entity_filter": f"""
@@ -334,6 +342,8 @@ ORACLES = {
     "typed_events": f"SELECT {_EVENT_LINES}, cast(NULL AS VARCHAR) AS bad FROM events",
     "typed_mentions": f"SELECT {_MENTION_LINES}, cast(NULL AS VARCHAR) AS bad FROM lineitem",
     "typed_files": f"SELECT {_MENTION_LINES} FROM lineitem",
+    "flat_files": f"SELECT * FROM ({_FLAT})",
+    "flat_day": f"SELECT * FROM ({_FLAT}) WHERE ds = {DAY}",
     "unzipped_lines": f"""
         SELECT 'events' AS dataset, cast(NULL AS VARCHAR) AS error, {_EVENT_FIELDS} FROM events""",
     "stream_ingest": _shown({}),

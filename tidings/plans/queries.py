@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.functions import entities, files
+from tidings.functions import entities, files, pairs
 from tidings.operators import cooccurrence as cooc
 from tidings.operators import events
 from tidings.operators import files as file_ops
@@ -17,7 +17,7 @@ from tidings.operators import links, mentions, preview, ranking, records, scenes
 from tidings.plans import tables
 from tidings.plans.daily import run_daily
 from tidings.session import drop_path, new_path, stage
-from tidings.sources import archives, bucketed, datasets, sinks
+from tidings.sources import archives, bucketed, datasets, flat, sinks
 from tidings.streaming import ledger
 from tidings.streaming.ingest import start_ingest
 
@@ -86,6 +86,20 @@ def cooc_sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cooc_sql_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table function, which gives pairs as rows."""
+    pairs.register_pairs(spark)
+    found = tables.records(spark, sf_dir)
+    return spark.sql(
+        """
+        SELECT name_a, name_b, sum(n) AS count
+        FROM name_pairs(TABLE(SELECT AllNames FROM {found} WHERE AllNames LIKE '%;%'))
+        GROUP BY name_a, name_b
+        """,
+        found=found,
+    )
+
+
 def cooc_sql_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities.register_functions(spark)
     found = tables.records(spark, sf_dir)
@@ -289,6 +303,23 @@ def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.read_dataset(spark, path, "mentions").drop("_corrupt_record")
 
 
+FLAT = ["GKGRECORDID", "DATE", "SourceCollectionIdentifier", "AllNames", "Locations"]
+
+
+def flat_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of a flat folder whose types differ from day to day."""
+    folder = new_path(spark, "flat")
+    tables.flat_files(spark, sf_dir, folder)
+    return flat.load_files(spark, folder, columns=FLAT).select(*FLAT, "ds")
+
+
+def flat_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of one day."""
+    folder = new_path(spark, "flat")
+    tables.flat_files(spark, sf_dir, folder)
+    return flat.load_files(spark, folder, DAY, columns=FLAT).select(*FLAT, "ds")
+
+
 def unzipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = tables.archives(tables.event_lines(spark, sf_dir), "events")
     lines = archives.unzip_lines(packed)
@@ -400,12 +431,12 @@ QUERIES = {
     q.__name__: q
     for q in (
         cooc_weighted, cooc_counts, cooc_undirected, cooc_themes, cooc_themes_named, cooc_total,
-        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, entity_rank, multi_entity_filter, split_items,
+        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, cooc_sql_pairs, entity_rank, multi_entity_filter, split_items,
         entity_names, top_themes, top_persons, top_organizations, top_locations,
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
         record_times, view_rows, daily_report, stored_json, event_mentions, url_extract, manifest_fields,
         latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
-        typed_files, unzipped_lines, stream_ingest, ingest_late_files, quarantine_rows, preview_transpose, scene_search,
+        typed_files, flat_files, flat_day, unzipped_lines, stream_ingest, ingest_late_files, quarantine_rows, preview_transpose, scene_search,
         scenes_found, scene_bands, band_composite,
     )
 }
