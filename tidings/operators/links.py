@@ -103,6 +103,6 @@ def link_rank(
         change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("before")))).first()[0]
         if change <= tolerance * SCALE:
             break
-    placed = rank_rows(ranks, F.desc("rank"), F.asc("name"))
+    placed = rank_rows(ranks, F.desc("rank"), F.asc("name"), stored=True)
     drop_staged(links, ranks)
     return placed.select("rn", "name", "links", (F.col("rank").cast("double") / F.lit(float(SCALE))).alias("rank"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.session import stage
+from tidings.session import drop_staged, stage
 
 _ROW_BITS = 33  # monotonically_increasing_id: task index above, row in the task below
 
@@ -16,7 +16,7 @@ def top_k(df: DataFrame, k: int, *order: str | Column) -> DataFrame:
 
 
 def rank_rows(
-    df: DataFrame, *order: Column, name: str = "rn", total_of: str | None = None
+    df: DataFrame, *order: Column, name: str = "rn", total_of: str | None = None, stored: bool = False
 ) -> DataFrame:
     """Add the 1-based position of every row in ``order``, without one big sort.
 
@@ -26,14 +26,20 @@ def rank_rows(
     rows apart for the positions to be the same in every run. With ``total_of``
     a column ``total`` with the sum of that column comes along.
 
-    Runs a job when called.
+    Dealing by range reads the rows twice, once for a sample. So they are written
+    first, unless ``stored`` says that reading them again costs little.
+
+    Runs jobs when called.
     """
+    rows = df if stored else stage(df, "unranked")
     numbered = stage(
-        df.repartitionByRange(*order)
+        rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id()),
         "ranked",
     )
+    if not stored:
+        drop_staged(rows)
     part = F.shiftright("_at", _ROW_BITS)
     sums = [F.sum(total_of).alias("_sum")] if total_of else []
     parts = numbered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"), *sums)

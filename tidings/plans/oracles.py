@@ -212,9 +212,18 @@ def _shown(days: dict[str, int]) -> str:
         for kind, key, first, second, number, table in parts)
 
 
-def _daily_line(result: str, counts: str) -> str:
-    return f"""SELECT '{result}' AS result, count(*) AS rows,
-        cast(sum(count) AS BIGINT) AS mentions FROM ({counts})"""
+def _daily_report() -> str:
+    parts = []
+    day = f"strftime(TIMESTAMP '{FIRST_STAMP}' + to_minutes(15 * doc_id), '%Y%m%d') = '{DAY}'"
+    for run, documents in (("all", "documents"), ("day", f"(SELECT * FROM documents WHERE {day}) documents")):
+        pairs = f"({_pairs('AllNames')} {_WEIGHTED})".replace("FROM documents", f"FROM {documents}")
+        parts.append(f"""SELECT '{run}' AS run, 'cooccurences' AS result, rn, name_a, name_b, count, weight
+            FROM {pairs}""")
+        for result, column, name in (("themes", "Themes", "upper(nm)"), ("people", "Persons", "nm"),
+                                     ("organizations", "Organizations", "nm")):
+            counts = f"({_top(column, name)})".replace("FROM documents", f"FROM {documents}")
+            parts.append(f"""SELECT '{run}', '{result}', NULL, {column}, NULL, count, NULL FROM {counts}""")
+    return " UNION ALL ".join(parts)
 
 
 def _entity_rank() -> str:
@@ -295,12 +304,7 @@ ORACLES = {
         FROM (SELECT doc_id, TIMESTAMP '{FIRST_STAMP}' + to_minutes(15 * doc_id) AS time
               FROM documents)""",
     "view_rows": _view_rows(),
-    "daily_report": " UNION ALL ".join([
-        _daily_line("cooccurences", _pairs("AllNames") + " SELECT * FROM counts"),
-        _daily_line("themes", _top("Themes")),
-        _daily_line("people", _top("Persons")),
-        _daily_line("organizations", _top("Organizations")),
-    ]),
+    "daily_report": _daily_report(),
     "stored_json": _top("Organizations"),
     "event_mentions": f"""
         SELECT event_id AS GLOBALEVENTID, cast(strftime(ts, '%Y%m%d') AS INTEGER) AS ds,

@@ -15,7 +15,7 @@ from tidings.operators import events
 from tidings.operators import files as file_ops
 from tidings.operators import links, mentions, preview, ranking, records, scenes
 from tidings.plans import tables
-from tidings.plans.daily import run_daily
+from tidings.plans.daily import RESULTS, run_daily
 from tidings.session import drop_path, new_path, stage
 from tidings.sources import archives, bucketed, datasets, flat, sinks
 from tidings.streaming import ledger
@@ -206,13 +206,17 @@ def view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that runs over all days and over one day have stored."""
     root = _stored_records(spark, sf_dir)
-    stored = run_daily(spark, root, f"{root}-results", "all")
     report = None
-    for name, df in stored.items():
-        line = df.agg(F.count("*").alias("rows"), F.sum("count").alias("mentions"))
-        line = line.select(F.lit(name).alias("result"), "rows", "mentions")
-        report = line if report is None else report.unionByName(line)
+    for run, day in (("all", "all"), ("day", DAY)):
+        for name, df in run_daily(spark, root, f"{root}-{run}", day).items():
+            cells = {"rn": "rn", "name_a": "name_a", "name_b": "name_b", "count": "count", "weight": "weight"}
+            if name in RESULTS:
+                cells = {"rn": "cast(NULL AS BIGINT)", "name_a": RESULTS[name], "name_b": "cast(NULL AS STRING)",
+                         "count": "count", "weight": "cast(NULL AS DOUBLE)"}
+            rows = df.selectExpr(f"'{run}' AS run", f"'{name}' AS result", *(f"{x} AS {c}" for c, x in cells.items()))
+            report = rows if report is None else report.unionByName(rows)
     return report
 
 

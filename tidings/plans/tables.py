@@ -53,8 +53,20 @@ def _stamp(time: Column) -> Column:
     return F.date_format(time, "yyyyMMddHHmmss")
 
 
+# Folders of test tables whose records are stored, and where.
+_stored: dict[str, str] = {}
+
+
+def store_records(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the records once; from now on ``records`` reads them there."""
+    records(spark, sf_dir).write.parquet(path)
+    _stored[sf_dir] = path
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per document, one quarter of an hour apart."""
+    if sf_dir in _stored:
+        return spark.read.parquet(_stored[sf_dir])
     documents = table(spark, sf_dir, "documents")
     time = F.expr(f"timestampadd(MINUTE, doc_id * 15, timestamp_ntz '{FIRST_STAMP}')")
     numbered = F.transform(
