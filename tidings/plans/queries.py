@@ -28,7 +28,7 @@ DAYS = ("2024-01-05", "2024-01-25")
 LATEST = 10
 STEPS = 10
 EVENT_DAYS = (20240105, 20240124)
-MENTION_DAYS = (19960301, 20000229)
+MENTION_DAYS = (19960101, 19991231)
 BUCKETS = 16
 # So low that the given tables have heavy events.
 HEAVY_MENTIONS = 5
@@ -234,8 +234,9 @@ def event_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = datasets.parse_lines(tables.event_lines(spark, sf_dir), "events")
     happened = stage(found.withColumn("ds", F.col("SQLDATE")).drop("_corrupt_record"), "events")
     found = datasets.parse_lines(tables.mention_lines(spark, sf_dir), "mentions")
-    day = F.substring(F.col("MentionTimeDate").cast("string"), 1, 8).cast("int")
-    said = stage(found.withColumn("ds", day).drop("_corrupt_record"), "mentions")
+    # The mentions of the given tables are spread over years, so a partition is one of them.
+    year = (F.substring(F.col("MentionTimeDate").cast("string"), 1, 4).cast("int") * 10_000 + 101).alias("ds")
+    said = stage(found.select("*", year).drop("_corrupt_record"), "mentions")
     stored = []
     for df, label in ((happened, "events"), (said, "mentions")):
         path = new_path(spark, label)
