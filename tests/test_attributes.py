@@ -1,0 +1,165 @@
+"""Attributes by time, scenes over points, the pair table kept by day."""
+
+from __future__ import annotations
+
+import os
+import random
+import shutil
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_ingest import gkg_line, zipped
+from tidings.operators import scenes
+from tidings.operators.attributes import with_attributes
+from tidings.operators.cooccurrence import cooccurrence, cooccurrence_counts
+from tidings.plans import alltime
+from tidings.streaming import ledger
+
+# --- attributes -----------------------------------------------------------------------------------
+
+RECORDS = "id int, key string, at bigint, name string"
+ATTRIBUTES = "key string, valid_from bigint, valid_until bigint, name string, n int"
+
+
+def plain(records, attributes):
+    out = []
+    for i, key, at, name in records:
+        holds = [
+            a for a in attributes if key is not None and at is not None and a[0] == key
+            and (a[1] is None or a[1] <= at) and (a[2] is None or at < a[2])]
+        holds.sort(key=lambda a: (a[1] is not None, a[1] or 0, a[2] is None, a[2] or 0, a[3] is not None, a[3] or "", a[4]))
+        out.append((i, key, at, name, *(holds[-1][3:] if holds else (None, None))))
+    return Counter(out)
+
+
+def attach(spark, records, attributes, **options):
+    got = with_attributes(
+        spark.createDataFrame(records, RECORDS), spark.createDataFrame(attributes, ATTRIBUTES).withColumnRenamed("name", "label"),
+        "key", "at", ["label", "n"], **options)
+    assert got.columns == ["id", "key", "at", "name", "label", "n"]
+    return Counter(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("spans", [64, 1, 7])
+def test_the_row_that_holds(spark, spans):
+    rng = random.Random(spans)
+    records = [(i, f"k{rng.randint(0, 5)}", rng.randint(0, 1000), "r") for i in range(300)]
+    records += [(400, None, 5, "r"), (401, "k1", None, "r"), (402, "nobody", 5, None), (1, "k1", 7, "r"), (1, "k1", 7, "r")]
+    attributes = []
+    for n in range(120):
+        since = rng.choice([None, rng.randint(-200, 1100)])
+        until = rng.choice([None, (since or 0) + rng.randint(0, 400)])
+        attributes.append((rng.choice([None, *(f"k{i}" for i in range(5))]), since, until, rng.choice(["x", "y", None]), n))
+    attributes += [("k1", 5, 9, "same", 1000), ("k1", 5, 9, "same", 1000), ("k2", 500, 400, "backwards", 1001)]
+    assert attach(spark, records, attributes, spans=spans) == plain(records, attributes)
+
+
+def test_no_records_no_attributes_one_time(spark):
+    assert attach(spark, [], [("k", 1, 2, "x", 1)]) == {}
+    one = [(1, "k", 5, "r"), (2, "k", None, "r")]
+    assert attach(spark, one, []) == {(1, "k", 5, "r", None, None): 1, (2, "k", None, "r", None, None): 1}
+    held = [("k", 5, 6, "x", 1), ("k", 6, None, "y", 2), ("k", None, 5, "z", 3)]
+    assert attach(spark, one, held) == plain(one, held)
+
+
+def test_records_are_not_multiplied_nor_broadcast_by_force(spark):
+    records = spark.range(1000).select(F.col("id").cast("string").alias("key"), F.col("id").alias("at"))
+    attributes = records.select("key", F.col("at").alias("valid_from"), F.lit(None).cast("bigint").alias("valid_until"), "at")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = with_attributes(records, attributes.withColumnRenamed("at", "n"), "key", "at", ["n"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Broadcast" not in plan
+    assert got.count() == 1000 and got.where("n = at").count() == 1000
+
+
+# --- scenes over points ---------------------------------------------------------------------------
+
+SCENES = [
+    ("box", 10.0, 0.0, 20.0, 10.0), ("line", 175.0, -5.0, -170.0, 5.0), ("dot", 3.0, 3.0, 3.0, 3.0),
+    ("world", -180.0, -90.0, 180.0, 90.0), ("null", None, 0.0, 5.0, 5.0), ("upside", 0.0, 5.0, 9.0, 1.0),
+    ("box", 10.0, 0.0, 20.0, 10.0), ("edge", 180.0, 0.0, -180.0, 1.0)]
+POINTS = [
+    (1, 10.0, 0.0), (2, 20.0, 10.0), (3, 20.1, 5.0), (4, 179.0, 0.0), (5, -175.0, 5.0), (6, -169.9, 0.0), (7, 3.0, 3.0),
+    (8, 180.0, 0.5), (9, -180.0, 0.5), (10, None, 1.0), (11, 15.0, 90.0), (12, 4.9999, 4.0), (1, 10.0, 0.0)]
+
+
+@pytest.mark.parametrize("cell", [5.0, 0.7, 360.0])
+def test_points_in_footprints(spark, cell):
+    points = spark.createDataFrame(POINTS, "scene_id int, lon double, lat double").withColumnRenamed("scene_id", "point")
+    table = spark.createDataFrame(SCENES, "scene_id string, xmin double, ymin double, xmax double, ymax double")
+    got = scenes.scenes_of_points(points, table, ["point"], ["scene_id"], cell)
+    expected = Counter(
+        (i, s) for i, lon, lat in POINTS for s, x0, y0, x1, y1 in SCENES
+        if None not in (lon, x0) and y0 <= lat <= y1 and (x0 <= lon <= x1 if x0 <= x1 else lon >= x0 or lon <= x1))
+    assert Counter(map(tuple, got.collect())) == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+# --- all-time pairs by day ------------------------------------------------------------------------
+
+@pytest.fixture
+def job(spark, tmp_path):
+    landed, stored, pairs = (f"{tmp_path}/{x}" for x in ("landed", "stored", "pairs"))
+
+    def land(name, *rows):
+        zipped(landed, name, "".join(f"{gkg_line(k, names)}\n" for k, names in rows))
+
+    def update():
+        ledger.start_ledger_ingest(spark, landed, stored, f"{tmp_path}/progress").awaitTermination()
+        return alltime.update_pairs(spark, stored, pairs)
+
+    def check():
+        whole = cooccurrence(ledger.load_ingested(spark, stored)).collect()
+        assert sorted(alltime.alltime_pairs(spark, pairs).collect()) == sorted(whole)
+    return land, update, check, stored, pairs
+
+
+def test_only_changed_days_are_counted(spark, job):
+    land, update, check, _, pairs = job
+    assert update() == [] and alltime.alltime_pairs(spark, pairs).collect() == []
+    land("20150220183000.gkg.csv.zip", ("a", "A,1;B,2;A,3"), ("b", "A,1;C,2"))
+    land("20150221183000.gkg.csv.zip", ("c", "B,1;C,2"))
+    assert update() == [20150220, 20150221]
+    check()
+    land("20150101000000.gkg.csv.zip", ("d", "A;D"))
+    land("20150220190000.gkg.csv.zip", ("e", "A;B"))
+    land("undated.gkg.csv.zip", ("f", "E;F"))
+    land("20150222000000.mentions.CSV.zip", ("g", "X;Y"))
+    assert update() == [0, 20150101, 20150220]
+    check()
+    assert update() == []
+    check()
+    counts = alltime.day_counts(spark, pairs).where("name_a = 'A' AND name_b = 'B'").collect()
+    assert {(r.ds, r["count"]) for r in counts} == {(20150220, 3)}
+    assert sorted(os.listdir(f"{pairs}/days")) == ["state=1", "state=2", "state=3"] or len(os.listdir(f"{pairs}/days")) == 2
+
+
+def test_an_update_that_stopped_is_made_again(spark, job):
+    land, update, check, stored, pairs = job
+    land("20150220183000.gkg.csv.zip", ("a", "A;B"))
+    update()
+    before = alltime.alltime_pairs(spark, pairs).collect()
+    land("20150220190000.gkg.csv.zip", ("b", "A;C"))
+    assert update() == [20150220]
+    # As if it had stopped before its last step: readers see the state before.
+    shutil.rmtree(f"{pairs}/days/state=2")
+    assert alltime.alltime_pairs(spark, pairs).collect() == before
+    assert alltime.update_pairs(spark, stored, pairs) == [20150220]
+    check()
+
+
+def test_counts_by_day_add_up(spark):
+    rows = [(d, n) for d in (1, 2, None) for n in ("A;B;A", "B;C", "single", None, "A;B")] * 3
+    df = spark.createDataFrame(rows, "ds int, AllNames string")
+    by_day = cooccurrence_counts(df, by=("ds",))
+    assert by_day.columns == ["ds", "name_a", "name_b", "count"]
+    whole = by_day.groupBy("name_a", "name_b").agg(F.sum("count").alias("count"))
+    assert sorted(whole.collect()) == sorted(cooccurrence_counts(df).collect())
+    one = cooccurrence_counts(df.where("ds = 1"))
+    assert sorted(by_day.where("ds = 1").drop("ds").collect()) == sorted(one.collect())

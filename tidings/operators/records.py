@@ -20,9 +20,9 @@ def master_view(df: DataFrame, limit: int | None = None) -> DataFrame:
     return master if limit is None else master.limit(limit)
 
 
-def multi_entity(df: DataFrame, col: str = "AllNames") -> DataFrame:
-    """Records whose list in ``col`` has several items, that column only."""
-    return df.where(F.col(col).contains(";")).select(col)
+def multi_entity(df: DataFrame, col: str = "AllNames", *keep: str) -> DataFrame:
+    """Records whose list in ``col`` has several items, that column and those to ``keep`` only."""
+    return df.where(F.col(col).contains(";")).select(*keep, col)
 
 
 def day_number(day: date | int | str) -> int:

@@ -26,6 +26,39 @@ def scenes_at(df: DataFrame, lon: float, lat: float) -> DataFrame:
     return df.where(point_inside)
 
 
+def _cells(low: Column, high: Column, size: float) -> Column:
+    """Numbers of the grid rows or columns from ``low`` to ``high``."""
+    return F.sequence(F.floor(low / size).cast("int"), F.floor(high / size).cast("int"))
+
+
+def scenes_of_points(
+    points: DataFrame, scenes: DataFrame, point_columns: list[str], scene_columns: list[str], cell: float = 5.0
+) -> DataFrame:
+    """Each point (``lon, lat``) with every scene whose footprint contains it, border included.
+
+    A footprint with ``xmin`` above ``xmax`` lies over the date line. Points and footprints meet by
+    the cells of a grid, ``cell`` degrees wide: a point is in one cell, a footprint is sent to each
+    cell it reaches into, once for its part on either side of the date line, and the exact test
+    follows. So no point is compared with scenes far away. Points without a scene and anything with
+    a null coordinate are left out; clashing names are up to the two lists of columns.
+    """
+    x = F.struct(F.col("xmin").alias("low"), F.col("xmax").alias("high"))
+    east = F.struct(F.col("xmin").alias("low"), F.lit(180.0).alias("high"))
+    west = F.struct(F.lit(-180.0).alias("low"), F.col("xmax").alias("high"))
+    sides = F.when(F.col("xmin") <= F.col("xmax"), F.array(x)).otherwise(F.array(east, west))
+    known = scenes.where("xmin IS NOT NULL AND xmax IS NOT NULL AND ymin <= ymax")
+    parts = known.select(
+        *scene_columns, F.col("ymin").alias("_ymin"), F.col("ymax").alias("_ymax"), F.explode(sides).alias("_x"))
+    parts = parts.where("_x.low <= _x.high")
+    columns = parts.withColumn("_cx", F.explode(_cells(F.col("_x.low"), F.col("_x.high"), cell)))
+    reached = columns.withColumn("_cy", F.explode(_cells(F.col("_ymin"), F.col("_ymax"), cell)))
+    placed = points.select(
+        *point_columns, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"),
+        F.floor(F.col("lon") / cell).cast("int").alias("_cx"), F.floor(F.col("lat") / cell).cast("int").alias("_cy"))
+    inside = F.col("_lon").between(F.col("_x.low"), F.col("_x.high")) & F.col("_lat").between(F.col("_ymin"), F.col("_ymax"))
+    return placed.join(reached, ["_cx", "_cy"]).where(inside).select(*point_columns, *scene_columns)
+
+
 def acquired_between(df: DataFrame, start: str, end: str) -> DataFrame:
     """Scenes acquired from ``start`` up to, not including, ``end``."""
     return df.where(

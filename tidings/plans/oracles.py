@@ -275,6 +275,21 @@ ORACLES = {
     "cooc_sql_pairs": _pairs("AllNames") + " SELECT * FROM counts",
     "cooc_sql_names": _pairs("AllNames") + " SELECT * FROM counts",
     "entity_rank": _entity_rank(),
+    "alltime_pairs": _pairs("AllNames") + _WEIGHTED,
+    "records_with_attributes": """
+        WITH a AS (
+            SELECT user_id AS k, event_type AS state, event_id AS number,
+                   TIMESTAMP '1995-01-01' + to_days(cast(event_id * 37 % 2400 AS INTEGER)) AS since,
+                   CASE WHEN event_type <> 'signup' THEN TIMESTAMP '1995-01-01'
+                       + to_days(cast(event_id * 37 % 2400 + user_id % 5 * 100 AS INTEGER)) END AS until
+            FROM events)
+        SELECT o_orderkey, state, number
+        FROM (SELECT o_orderkey, state, number, row_number() OVER (
+                  PARTITION BY o_orderkey
+                  ORDER BY since DESC, coalesce(until, TIMESTAMP '9999-01-01') DESC, state DESC, number DESC) AS place
+              FROM orders LEFT JOIN a ON k = o_custkey AND since <= o_orderdate
+                  AND (until IS NULL OR o_orderdate < until))
+        WHERE place = 1""",
     "multi_entity_filter": f"""
         SELECT AllNames FROM ({_RECORDS}) WHERE AllNames LIKE '%;%'""",
     "split_items": f"""
@@ -358,6 +373,17 @@ ORACLES = {
     "preview_transpose": _preview(),
     "scene_search": _SCENES_FOUND + " ORDER BY cloud_cover, scene_id LIMIT 1",
     "scenes_found": _SCENES_FOUND,
+    "scenes_of_points": f"""
+        WITH s AS (
+            SELECT scene_id, xmin + 5 AS xmin, CASE WHEN xmax + 5 > 180 THEN xmax - 355 ELSE xmax + 5 END AS xmax,
+                   ymin, ymax
+            FROM ({_SCENES})),
+        p AS (
+            SELECT c_custkey AS point_id, cast(c_custkey * 7919 % 3601 AS DOUBLE) / 10e0 - 180e0 AS lon,
+                   cast(c_custkey * 104729 % 1801 AS DOUBLE) / 10e0 - 90e0 AS lat
+            FROM customer)
+        SELECT point_id, scene_id FROM p JOIN s ON lat BETWEEN ymin AND ymax
+            AND CASE WHEN xmin <= xmax THEN lon BETWEEN xmin AND xmax ELSE lon >= xmin OR lon <= xmax END""",
     "scene_bands": """
         SELECT vec_id AS pixel_id, unnest(range(1, len(embedding) + 1)) AS band,
                unnest(embedding) AS value

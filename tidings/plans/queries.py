@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions import entities, files, pairs
+from tidings.operators import attributes, events
 from tidings.operators import cooccurrence as cooc
-from tidings.operators import events
 from tidings.operators import files as file_ops
 from tidings.operators import links, mentions, preview, ranking, records, scenes
-from tidings.plans import tables
+from tidings.plans import alltime, tables
 from tidings.plans.daily import RESULTS, run_daily
 from tidings.session import drop_path, new_path, stage
 from tidings.sources import archives, bucketed, datasets, flat, sinks
@@ -123,6 +123,18 @@ def entity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.link_rank(pairs, named, iterations=STEPS, tolerance=-1.0)
 
 
+def alltime_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pair table kept by day, brought up to date as files arrive in turns, late ones last."""
+    base = new_path(spark, "alltime")
+    lines = tables.record_lines(spark, sf_dir)
+    # In turns by the first character of the key: newer days first.
+    for turn, part in enumerate((lines.where("line >= '5'"), lines.where("line < '5'"))):
+        _land(part, "gkg", f"{base}/landed/{turn}", f"2015-03-0{2 - turn} 00:00:00")
+        ledger.start_ledger_ingest(spark, f"{base}/landed/*", f"{base}/stored", f"{base}/progress").awaitTermination()
+        alltime.update_pairs(spark, f"{base}/stored", f"{base}/pairs")
+    return alltime.alltime_pairs(spark, f"{base}/pairs")
+
+
 # Items, mentions, ranks ------------------------------------------------------
 
 def multi_entity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +259,15 @@ def event_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         EVENT_DAYS, MENTION_DAYS, HEAVY_MENTIONS)
 
 
+def records_with_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with what held for their customer at the time; intervals overlap, miss and are open."""
+    orders = tables.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("time"))
+    held = tables.intervals(spark, sf_dir)
+    got = attributes.with_attributes(orders, held, "o_custkey", "time", ["state", "number"])
+    return got.select("o_orderkey", "state", "number")
+
+
 # Files, manifests, typed scans -----------------------------------------------
 
 def url_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,6 +445,12 @@ def scenes_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenes.acquired_between(at, *DAYS)
 
 
+def scenes_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as points, with all scenes over them; some scenes lie over the date line."""
+    return scenes.scenes_of_points(
+        tables.points(spark, sf_dir), tables.scenes_over_date_line(spark, sf_dir), ["point_id"], ["scene_id"])
+
+
 def scene_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenes.scene_bands(tables.pixels(spark, sf_dir), "pixel_id")
 
@@ -436,12 +463,12 @@ QUERIES = {
     q.__name__: q
     for q in (
         cooc_weighted, cooc_counts, cooc_undirected, cooc_themes, cooc_themes_named, cooc_total,
-        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, cooc_sql_pairs, entity_rank, multi_entity_filter, split_items,
+        cooc_top_k, cooc_pairs, cooc_sql_function, cooc_sql_names, cooc_sql_pairs, entity_rank, alltime_pairs, multi_entity_filter, split_items,
         entity_names, top_themes, top_persons, top_organizations, top_locations,
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
-        record_times, view_rows, daily_report, stored_json, event_mentions, url_extract, manifest_fields,
+        record_times, view_rows, daily_report, stored_json, event_mentions, records_with_attributes, url_extract, manifest_fields,
         latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
         typed_files, flat_files, flat_day, unzipped_lines, stream_ingest, ingest_late_files, quarantine_rows, preview_transpose, scene_search,
-        scenes_found, scene_bands, band_composite,
+        scenes_found, scenes_of_points, scene_bands, band_composite,
     )
 }

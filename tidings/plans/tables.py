@@ -275,6 +275,31 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scenes_over_date_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scenes, moved east by half a width, so that the last column of them wraps around."""
+    moved = F.col("xmax") + 5
+    return scenes(spark, sf_dir).select(
+        "scene_id", (F.col("xmin") + 5).alias("xmin"), F.when(moved > 180, moved - 360).otherwise(moved).alias("xmax"),
+        "ymin", "ymax")
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per customer, on whole and tenth degrees."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        key.alias("point_id"), (key * 7919 % 3601 / 10 - 180).alias("lon"), (key * 104729 % 1801 / 10 - 90).alias("lat"))
+
+
+def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for a customer, one row per event: from a day on, for some days or for good."""
+    start = F.expr("timestampadd(DAY, event_id * 37 % 2400, timestamp '1995-01-01 00:00:00')")
+    end = F.expr("timestampadd(DAY, event_id * 37 % 2400 + user_id % 5 * 100, timestamp '1995-01-01 00:00:00')")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("o_custkey"), start.alias("valid_from"),
+        F.when(F.col("event_type") != "signup", end).alias("valid_until"), F.col("event_type").alias("state"),
+        F.col("event_id").alias("number"))
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pixel per embedding, its elements as bands."""
     return table(spark, sf_dir, "embeddings").select(

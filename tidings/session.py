@@ -63,6 +63,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = _path(spark, path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything exists under a path or a pattern of paths."""
+    found = _path(spark, pattern)
+    return bool(found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found))
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    found = _path(spark, path)
+    listed = found.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(found)
+    return [x.getPath().getName() for x in listed if x.isDirectory()]
+
+
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the work folder and return it read back.
 
