@@ -1,9 +1,11 @@
 """Mixing sources to target weights by drawing fixed-length blocks of words.
 
-The words of a source, document after document, are cut into blocks of equal length. Every output
-shard has a fixed number of slots and draws how many fall to each source from a multinomial
-distribution; the slots of a source, counted over all shards, run through pseudorandom
-permutations of its block numbers, one permutation for each pass; blocks are joined by number.
+The words of a source, document after document, are cut into blocks of equal length. Each source
+has a number of draws, and the slots of all output shards are dealt to the draws by a pseudorandom
+permutation: the counts of a shard are multinomial under the condition that every source comes to
+its number, so none is drawn too often or too rarely. The draws of a source run through
+pseudorandom permutations of its block numbers, one permutation for each pass; blocks are joined by
+number.
 """
 
 from __future__ import annotations
@@ -12,46 +14,50 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.llm import textops as t
-from tidings.session import stage
+from tidings.operators.ranking import rank_rows
+from tidings.session import drop_staged, stage
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
-# Shards whose slots one task makes at a time, rows of a source in one group of the running sum.
-SHARD_GROUP = 16
+# Draws made by one row of the list of draws, and at a time.
+CHUNK_DRAWS = 1 << 16
+# Rows of a source, and sources, in one group of a running sum.
 GROUP_ROWS = 8192
 MAX_PASSES = 3
 WEIGHTS = (1, 2, 3)
-# A mixture is over a list of sources that a task can hold; a longer list is refused.
-MAX_SOURCES = 100_000
 SEED = 20_240_229
+_SLOTS = "shard bigint, slot int, src bigint, pass int, block bigint"
 
 
-def targets(sizes: list[int], weights: list[int], passes: int = MAX_PASSES) -> list[float]:
-    """Words to take of each source: the total shared by weight, at most ``passes`` sizes each.
+def with_targets(sources: DataFrame, passes: int = MAX_PASSES) -> DataFrame:
+    """``target`` for ``size, weight``: the total shared by weight, at most ``passes`` sizes each.
 
-    What a source cannot take is shared again by weight among the others, until none is above.
+    What a source cannot take is shared again by weight among the others, until none is above. Each
+    round is one aggregation over the sources, of which one row comes to the driver. Should be
+    called on a stored table.
     """
-    total, free = sum(sizes), [s > 0 for s in sizes]
-    out = [0.0] * len(sizes)
-    rest = float(total)
-    while any(free):
-        weight = sum(w for w, f in zip(weights, free) if f)
-        over = [i for i, f in enumerate(free) if f and rest * weights[i] / weight > passes * sizes[i]]
-        if not over:
-            for i, f in enumerate(free):
-                if f:
-                    out[i] = rest * weights[i] / weight
-            break
-        for i in over:
-            out[i], free[i] = float(passes * sizes[i]), False
-        rest = total - sum(o for o, f in zip(out, free) if not f)
-    return out
+    size, weight = F.col("size").cast("double"), F.col("weight").cast("double")
+    has = F.col("size") > 0
+    cap = size * passes
+    share, capped = None, F.lit(False)
+    while True:
+        # A source over its cap in one round is so in the next: what is left for a weight only grows.
+        row = sources.agg(
+            F.sum("size").cast("double").alias("total"), F.sum(F.when(has & capped, cap)).alias("full"),
+            F.sum(F.when(has & ~capped, weight)).alias("weight"), F.count(F.when(has & capped, 1)).alias("n")).first()
+        if row["weight"] is None:
+            return sources.withColumn("target", F.when(has, cap).otherwise(F.lit(0.0)))
+        rest = row["total"] - (row["full"] or 0.0)
+        if share is not None and row["n"] == share[2]:
+            even = weight * F.lit(rest) / F.lit(row["weight"])
+            return sources.withColumn("target", F.when(~has, 0.0).when(capped, cap).otherwise(even))
+        share = rest, row["weight"], row["n"]
+        capped = (weight * F.lit(rest) / F.lit(row["weight"])) > cap
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -72,93 +78,75 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def shard_counts(shard: int, slots: int, shares: np.ndarray, seed: int) -> np.ndarray:
-    """Slots of one shard for each source: the whole parts of their expectations, and a multinomial
-    draw of the remaining slots by the remaining fractions, which keeps the expectation and has the
-    least spread."""
-    expected = slots * shares
-    whole = np.floor(expected + 1e-9).astype(np.int64)
-    left = slots - int(whole.sum())
-    if left <= 0:
-        return whole
-    fractions = np.maximum(expected - whole, 0)
-    total = fractions.sum()
-    chance = fractions / total if total > 0 else shares
-    return whole + np.random.default_rng([seed, shard]).multinomial(left, chance)
-
-
-def draw_slots(spark: SparkSession, blocks: np.ndarray, wanted: np.ndarray, seed: int,
-               parts: int, passes: int = MAX_PASSES) -> DataFrame:
+def draw_slots(plan: DataFrame, seed: int = SEED) -> DataFrame:
     """``shard, slot, src, pass, block``: what every slot of the output takes.
 
-    ``blocks`` and ``wanted`` are the blocks of each source and how many are to be drawn. The draws
-    of a shard follow from the seed and its number, so a group of shards can be counted first and
-    made later; the slots of a source before a group are a running sum over groups. A source that
-    was drawn more often than ``passes`` times its blocks leaves the excess slots empty.
+    ``plan`` has ``src``, the number of ``blocks``, of ``draws``, at most ``passes`` times as many,
+    and ``first``, the draws of the sources before. The draws are numbered through; a permutation of
+    these numbers says which slot of which shard each takes. A source with most of the draws is
+    made by many tasks, and no list of sources is held anywhere.
     """
-    slots = int(round(wanted.sum()))
-    if not slots:
-        return spark.createDataFrame([], "shard bigint, slot int, src int, pass int, block bigint")
-    shards = -(-slots // SHARD_SLOTS)
-    shares = wanted / wanted.sum()
-    groups = spark.range(0, -(-shards // SHARD_GROUP), 1, min(parts, -(-shards // SHARD_GROUP)))
-
-    def counts_of(group: int) -> Iterator[tuple[int, np.ndarray]]:
-        for shard in range(group * SHARD_GROUP, min((group + 1) * SHARD_GROUP, shards)):
-            yield shard, shard_counts(shard, min(SHARD_SLOTS, slots - shard * SHARD_SLOTS), shares, seed)
-
-    def totals(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for group in frame["id"]:
-                n = sum(c for _, c in counts_of(group))
-                src = np.flatnonzero(n)
-                yield pd.DataFrame({"group": group, "src": src, "n": n[src]})
+    parts = t.shuffle_partitions(plan)
+    total = plan.agg(F.coalesce(F.sum("draws"), F.lit(0))).scalar().alias("total")
+    chunks = plan.where("draws > 0").select(
+        "src", "blocks", "draws", "first", total, F.explode(F.expr(f"sequence(0, (draws - 1) div {CHUNK_DRAWS})")).alias("chunk"))
 
-    earlier = Window.partitionBy("src").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    before = groups.mapInPandas(totals, "group bigint, src int, n bigint").select(
-        "group", "src", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-
-    def slots_of(key: tuple, frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        done = np.zeros(len(blocks), np.int64)
-        done[frame["src"]] = frame["before"]
-        for shard, n in counts_of(key[0]):
-            src = np.repeat(np.arange(len(n)), n)
-            turn = np.arange(len(src)) - np.repeat(np.cumsum(n) - n, n) + done[src]
-            done += n
-            # The place in the shard is shuffled, so sources do not stand side by side.
-            slot = np.random.default_rng([seed, shard, 1]).permutation(len(src)).astype(np.int32)
-            number = turn // blocks[src]
-            key_of = t.mix(np.uint64(seed) + src.astype(np.uint64) * np.uint64(MAX_SOURCES) + number.astype(np.uint64))
-            block = permuted(turn % blocks[src], blocks[src], key_of)
-            fits = number < passes
-            yield pd.DataFrame({"shard": shard, "slot": slot, "src": src, "pass": number, "block": block})[fits]
-
-    # One group's rows are one for each source; the list of sources is bounded.
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(list(slots_of(key, frame)), ignore_index=True)
-    return before.groupBy("group").applyInPandas(run, "shard bigint, slot int, src int, pass int, block bigint")
-
-
-def _plan(rows: DataFrame, block_words: int, passes: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """The table of sources, and the blocks and draws of each.
-
-    ``rows`` has ``source, size``. Sources are in the order of their code points, null last; their
-    number is checked before their list comes to the driver.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            src, blocks, draws, first, total, chunk = (np.array(c, np.int64) for c in batch.columns)
+            number = np.minimum(draws - chunk * CHUNK_DRAWS, CHUNK_DRAWS)
+            # Many small sources at a time, or one chunk of a large one.
+            part = np.cumsum(number) // CHUNK_DRAWS
+            for rows in np.split(np.arange(len(src)), np.flatnonzero(np.diff(part)) + 1):
+                if not len(rows):
+                    continue
+                n = number[rows]
+                of = np.repeat(rows, n)
+                draw = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + chunk[of] * CHUNK_DRAWS
+                turn = draw // blocks[of]
+                key = t.mix(np.uint64(seed) + t.mix(src[of].astype(np.uint64)) + turn.astype(np.uint64))
+                block = permuted(draw % blocks[of], blocks[of], key)
+                place = permuted(first[of] + draw, total[of], np.full(len(of), seed, np.uint64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place // SHARD_SLOTS), pa.array((place % SHARD_SLOTS).astype(np.int32)), pa.array(src[of]),
+                     pa.array(turn.astype(np.int32)), pa.array(block)], ["shard", "slot", "src", "pass", "block"])
+
+    return chunks.repartition(parts, "src", "chunk").mapInArrow(run, _SLOTS)
+
+
+def _before(n: str, *by: str) -> Column:
+    """The sum of ``n`` over the rows before, by ``by``; the last of these is the order."""
+    window = Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(window), F.lit(0))
+
+
+def plan_sources(rows: DataFrame, block_words: int = BLOCK_WORDS, passes: int = MAX_PASSES, seed: int = SEED) -> DataFrame:
+    """``source, src, source_size, target, blocks, draws, first, groups``, one row a source.
+
+    ``rows`` has ``source, size``. Sources are numbered in the order of their code points, null
+    last. A source has as many draws as blocks go into its target; of a fraction left over the draw
+    is made with that chance. The table is stored; the driver sees sums only.
     """
-    spark = rows.sparkSession
-    sums = stage(rows.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("size")), "sources")
-    if sums.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found = sums.collect()
-    found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-    sizes = [r["size"] for r in found]
-    goal = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))], passes)
-    blocks = np.array([-(-s // block_words) for s in sizes], np.int64)
-    wanted = np.array([g * b / s if s else 0.0 for g, b, s in zip(goal, blocks, sizes)])
-    table = [(r["source"], i, r["size"], g, -(-r["rows"] // GROUP_ROWS)) for i, (r, g) in enumerate(zip(found, goal))]
-    plan = spark.createDataFrame(
-        table, "source string, src int, source_size bigint, target double, groups bigint")
-    return plan, blocks, wanted
+    sums = rows.groupBy("source").agg(F.count("*").alias("rows"), F.sum("size").alias("size"))
+    numbered = rank_rows(sums, F.asc_nulls_last("source"), name="_rank").withColumn("src", F.col("_rank") - 1)
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("src") % len(WEIGHTS) + 1).cast("int"))
+    weighed = stage(numbered.select("source", "src", "rows", "size", weight.alias("weight")), "weighed")
+    wanted = F.col("target") * F.col("blocks") / F.col("size")
+    # From the seed and the number alone, in [0, 1).
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "src"), 11) / F.lit(float(1 << 53))
+    draws = F.floor(wanted + 1e-9) + (chance < wanted - F.floor(wanted + 1e-9)).cast("bigint")
+    counted = with_targets(weighed, passes).withColumn("blocks", F.expr(f"(size + {block_words - 1}) div {block_words}"))
+    counted = counted.select(
+        "source", "src", F.col("size").alias("source_size"), "target", "blocks",
+        F.when(F.col("size") > 0, F.least(draws, F.col("blocks") * passes)).otherwise(0).cast("bigint").alias("draws"),
+        F.ceil(F.col("rows") / GROUP_ROWS).alias("groups"), F.expr(f"src div {GROUP_ROWS}").alias("_part"))
+    # The sums of the parts run in one task, of which there is one for thousands of sources.
+    parts = counted.groupBy("_part").agg(F.sum("draws").alias("_n")).select("_part", _before("_n", "_part").alias("_base"))
+    inner = counted.withColumn("_inner", _before("draws", "_part", "src"))
+    plan = inner.join(parts, "_part").withColumn("first", F.col("_base") + F.col("_inner"))
+    out = stage(plan.drop("_part", "_base", "_inner"), "plan")
+    drop_staged(weighed)
+    return out
 
 
 def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -167,7 +155,7 @@ def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
     The running sum is over groups of rows of a source and then inside each group, so a source
     with most of the rows is spread over many tasks.
     """
-    sources = F.broadcast(plan.withColumnRenamed("source", "_source"))  # at most MAX_SOURCES rows
+    sources = plan.select(F.col("source").alias("_source"), "src", "source_size", "target", "groups")
     rows = rows.join(sources, rows["source"].eqNullSafe(F.col("_source"))).drop("_source", "source")
     rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "hash"), "groups"))
     sums = rows.groupBy("src", "group").agg(F.sum("size").alias("n"))
@@ -211,9 +199,9 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, passes: int = MAX_PAS
     columns are not read. Texts are read once and not shuffled.
     """
     rows = stage(_sized(docs), "sized")
-    plan, blocks, wanted = _plan(rows, block_words, passes)
+    plan = plan_sources(rows, block_words, passes, seed)
     placed = _placed(rows, plan)
-    slots = draw_slots(docs.sparkSession, blocks, wanted, seed, t.shuffle_partitions(docs), passes)
+    slots = draw_slots(plan, seed)
     taken = _draws(placed, slots, block_words).groupBy("row").agg(F.sum(F.col("last") - F.col("first")).alias("taken"))
     return placed.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
@@ -225,7 +213,9 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, passes: int
 
     The text is what the pass takes of the document: all of it, or the parts that drawn blocks
     cover, each from its first word to its last, joined by line feeds. ``n_chars``, if there is
-    such a column, is counted anew. Documents without words are in no block and not in the mixture.
+    such a column, is counted anew. Documents without words, null texts among them, are in no block
+    and not in the mixture; an empty table gives an empty mixture. Rows without source are a source
+    of their own. Repeated rows are rows of their own.
     """
     columns = docs.columns
     whole = stage(docs.select(F.struct(*columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
@@ -234,9 +224,9 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, passes: int
         F.coalesce(F.regexp_count("doc.text", F.lit(t.WORD)), F.lit(0)).cast("bigint").alias("size"),
         F.xxhash64("doc.text").alias("hash"))
     sized = stage(sized, "sized")
-    plan, blocks, wanted = _plan(sized, block_words, passes)
+    plan = plan_sources(sized, block_words, passes, seed)
     placed = _placed(sized, plan)
-    slots = draw_slots(docs.sparkSession, blocks, wanted, seed, t.shuffle_partitions(docs), passes)
+    slots = draw_slots(plan, seed)
     runs = _draws(placed, slots, block_words).groupBy("row", "pass").agg(
         F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
     found = whole.join(runs, "row").select("doc", "runs")

@@ -140,7 +140,7 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_
     # Equal rows are told apart, so that a hot one is spread over the ranges.
     told = weighed.withColumn("_row", F.monotonically_increasing_id())
     order = [F.desc("eligible"), F.desc("score"), F.asc_nulls_first("doc_id"), F.asc("_row")]
-    ranked = rank_rows(told, *order, name="_rank", total_of="eligible")
+    ranked = rank_rows(told, *order, name="_rank", total_of="eligible", stored=True)
     drawn = (F.col("eligible") == 1) & (F.col("_rank") <= F.expr(f"total * {int(percent)} div 100"))
     drop_staged(weighed)
     return ranked.select(
