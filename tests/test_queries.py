@@ -19,7 +19,7 @@ TABLES = (
 ).split()
 SPARK_TYPE = {
     "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
-    "FLOAT": "float", "DATE": "date",
+    "FLOAT": "float", "DATE": "date", "BOOLEAN": "boolean",
 }
 
 

@@ -367,6 +367,14 @@ ORACLES = {
         SELECT 'events' AS dataset, cast(NULL AS VARCHAR) AS error, {_EVENT_FIELDS} FROM events""",
     "stream_ingest": _shown({}),
     "ingest_late_files": _shown({"gkg": 20140101}),
+    "timed_ingest": " UNION ALL ".join(
+        f"""SELECT '{kind}' AS dataset, count(*) AS rows, cast(0 AS BIGINT) AS bad, cast(0 AS BIGINT) AS errors,
+            cast(0 AS BIGINT) AS "left" FROM {table}"""
+        for kind, table in (("gkg", "documents"), ("events", "events"), ("mentions", "lineitem"))),
+    "replaced_bytes": r"""
+        SELECT regexp_replace(regexp_replace(line, '[\x{80}-\x{FF}]', chr(65533), 'g'), '[\x{100}-\x{FFFC}\x{FFFE}-\x{10FFFF}]', '?', 'g') AS line,
+               regexp_matches(line, '[\x{80}-\x{FF}]') AS replaced
+        FROM (SELECT doc_id || chr(9) || regexp_replace(coalesce(text, ''), '[\n\r]+', ' ', 'g') AS line FROM documents)""",
     "quarantine_rows": """
         SELECT 'other' AS dataset, page_id || chr(9) || url AS line, cast(NULL AS VARCHAR) AS error FROM pages
         UNION ALL SELECT 'gkg', NULL, 'BadZipFile: File is not a zip file' FROM region""",

@@ -427,6 +427,32 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.load_raw(spark, f"{base}/stored").select("dataset", "line", "error")
 
 
+def timed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger has after an ingest on a timer that removes what it has taken, and what is left."""
+    base = new_path(spark, "timed")
+    for kind, lines in tables.LINES.items():
+        _land(lines(spark, sf_dir), kind, f"{base}/landed")
+    query = ledger.start_ledger_ingest(
+        spark, f"{base}/landed", f"{base}/stored", f"{base}/progress", every="1 second", files_per_batch=5, clean=True)
+    try:
+        while archives.list_archives(spark, f"{base}/landed").count() and query.isActive:
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    left = archives.list_archives(spark, f"{base}/landed").groupBy("dataset").agg(F.count("*").alias("left"))
+    taken = ledger.load_ledger(spark, f"{base}/stored").groupBy("dataset").agg(
+        F.sum("rows").alias("rows"), F.sum("bad").alias("bad"), F.count("error").alias("errors"))
+    return taken.join(left, "dataset", "left").select("dataset", "rows", "bad", "errors", F.coalesce("left", F.lit(0)).alias("left"))
+
+
+def replaced_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are not UTF-8, read from archives as streams, and whether bytes were replaced."""
+    base = new_path(spark, "replaced")
+    written = tables.archives(tables.text_lines(spark, sf_dir), "gkg", f"{base}/landed", encoding="latin-1")
+    written.write.format("noop").mode("overwrite").save()
+    return archives.stream_lines(archives.list_archives(spark, f"{base}/landed")).select("line", "replaced")
+
+
 # Previews and scenes ---------------------------------------------------------
 
 def preview_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,7 +494,7 @@ QUERIES = {
         themes_with_empty, top_values_raw, rank_values, master_projection, day_slice,
         record_times, view_rows, daily_report, stored_json, event_mentions, records_with_attributes, url_extract, manifest_fields,
         latest_files, route_dataset, new_files, backfill_files, typed_records, typed_events, typed_mentions,
-        typed_files, flat_files, flat_day, unzipped_lines, stream_ingest, ingest_late_files, quarantine_rows, preview_transpose, scene_search,
+        typed_files, flat_files, flat_day, unzipped_lines, stream_ingest, ingest_late_files, timed_ingest, quarantine_rows, replaced_bytes, preview_transpose, scene_search,
         scenes_found, scenes_of_points, scene_bands, band_composite,
     )
 }

@@ -144,12 +144,18 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.concat_ws("\t", "page_id", "url").alias("line"))
 
 
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of no known dataset: one per document, with its whole text."""
+    text = F.regexp_replace("text", "[\n\r]+", " ")
+    return table(spark, sf_dir, "documents").select(F.concat_ws("\t", "doc_id", text).alias("line"))
+
+
 LINES = {"gkg": record_lines, "events": event_lines, "mentions": mention_lines}
 _MARK_OF = {dataset: mark for mark, dataset in DATASET_MARKS.items()}
 
 
 def archives(
-    lines: DataFrame, kind: str, folder: str | None = None, first: str = FIRST_STAMP
+    lines: DataFrame, kind: str, folder: str | None = None, first: str = FIRST_STAMP, encoding: str = "utf-8"
 ) -> DataFrame:
     """The lines packed into zip files, as ``path, content``.
 
@@ -171,7 +177,7 @@ def archives(
             data = io.BytesIO()
             with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
                 text = "".join(f"{line}\n" for line in batch.column("line").to_pylist())
-                archive.writestr(name, text.encode())
+                archive.writestr(name, text.encode(encoding, "replace"))
             path, content = f"{name}.zip", data.getvalue()
             if folder:
                 path, content = _put(folder, path, content), b""
