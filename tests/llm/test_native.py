@@ -82,6 +82,18 @@ def test_no_text_holds_a_mark(spark, turns):
         assert r.formatted.count("<") == r.formatted.count(">") == 2 * r.n_turns
 
 
+def test_no_conversations_and_very_long_texts(spark, tmp_path):
+    ddl = "conv_id bigint, turn bigint, role string, text string"
+    spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/none/conversations.parquet")
+    assert [r.conv_id for r in queries.op4_chats(spark, f"{tmp_path}/none").collect()] == [-7]
+    long = "a<b>\\ é" * 200_000
+    spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], ddl).write.parquet(
+        f"{tmp_path}/long/conversations.parquet")
+    got = {r.conv_id: r for r in queries.op4_chats(spark, f"{tmp_path}/long").collect()}
+    assert (got[1].loss_chars, got[1].loss_sha256) == (len(long), digest(long))
+    assert got[1].turns_sha256 == digest(f"user\n{long}\nassistant\n{long}\n")
+
+
 def test_typed_parts(spark):
     def part(kind, text=None, ref=None, width=None, height=None, seconds=None, pages=None):
         return (kind, text, ref, width, height, seconds, pages)

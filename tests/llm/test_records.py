@@ -70,6 +70,10 @@ def test_files_index_and_shuffled_reading(spark, edge, empty, library, tmp_path)
     got = records.read_chosen(spark, path, chosen.select("file", "offset", "at")).orderBy("at").collect()
     assert [r.at for r in got] == sorted(r.at for r in chosen.collect())
     assert {(r.doc_id, tuple(r.ids)) for r in got} == {(i, (*library(x), 0)) for i, x in texts if i and i > 8}
+    twice = chosen.where("doc_id IN (10, 12)").select("file", "offset", "at")
+    got = records.read_chosen(spark, path, twice.unionByName(twice)).collect()
+    assert len(got) == 4 and len({(r.at, tuple(r.ids)) for r in got}) == 2
+    assert records.read_chosen(spark, path, twice.limit(0)).collect() == []
     records.write_records(empty, str(tmp_path / "none"), PATH)
     assert records.with_start(records.read_records(spark, str(tmp_path / "none")), str(tmp_path / "none")).count() == 0
 
@@ -126,3 +130,16 @@ def test_a_full_table_starts_anew(monkeypatch, library, docs):
     for d in docs[:60]:
         assert np.frombuffer(encode([d.text])[0], "<u2").tolist() == library(d.text)
     assert len(encode._table) < 60_000
+
+
+def test_starts_over_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "FILE_GROUP", 3)
+    monkeypatch.setattr(records, "FILE_BYTES", 200)
+    docs = spark.range(200).selectExpr("id AS doc_id", "repeat('ab ', cast(id % 7 AS int)) AS text")
+    records.write_records(docs, str(tmp_path / "r"), PATH)
+    rows = records.with_start(records.read_records(spark, str(tmp_path / "r")), str(tmp_path / "r")).collect()
+    assert len({r.file for r in rows}) > 8
+    done = 0
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        assert r.start == done
+        done += r.n_tokens

@@ -141,7 +141,8 @@ def read_chats(chunks: DataFrame) -> DataFrame:
     """Digests of conversations from their formatted chunks alone.
 
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``. A digest is over
-    the whole conversation, so its chunks, not its turns, meet in the row that holds it.
+    the whole conversation, so its chunks, not its turns, meet in the row that holds it. Rows without
+    ``conv_id`` are one conversation; without chunks there are no rows.
     """
     back = chunks.select(
         "conv_id", "chunk", read_turns(F.col("formatted")).alias("turns"),

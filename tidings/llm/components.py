@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.session import stage
+from tidings.session import drop_staged, stage
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -19,9 +19,10 @@ def components(edges: DataFrame) -> DataFrame:
     Two steps in turn until nothing changes: every node links its larger neighbours to the least
     of its neighbourhood, then its smaller ones and itself. The number of edges never grows and
     the rounds are about the logarithm of a component's size. Least neighbours come from a
-    partial aggregation and are joined back, so a node with very many neighbours is no single
-    task's group; adaptive execution can split that join. Every round is stored in the work
-    folder. Null ends and loops are left out.
+    partial aggregation and are stored before they are joined back: both sides of the join are
+    plain shuffles then, of which adaptive execution splits the rows of a node with very many
+    neighbours over tasks. Every round is stored in the work folder, and dropped after the next.
+    Null ends and loops are left out; without edges there are no rows.
     """
     now = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -29,13 +30,16 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = both.join(_minimum(both), "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        nearest = stage(_minimum(both), "least")
+        large = both.join(nearest, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         large = stage(large.distinct(), "edges")
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        least = _minimum(down)
+        least = stage(_minimum(down), "least")
         small = down.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        now = stage(small.where("a <> b").distinct(), "edges")
+        following = stage(small.where("a <> b").distinct(), "edges")
+        drop_staged(now, nearest, large, least)
+        now = following
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -241,7 +241,12 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS, row
 
 
 def deduplicated(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """The rows that are kept, as they came; of rows with the same id and text one."""
+    """The rows that are kept, as they came; of rows with the same id and text one.
+
+    Rows with one id and different texts are one document and stay both. Of rows without id and
+    with equal text one stays, unless a row with an id has the same shingles. Null and empty texts
+    stay, one row for each id; an empty table stays empty.
+    """
     marks = near_duplicates(docs, least).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     rows = docs.select(

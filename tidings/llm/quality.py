@@ -132,6 +132,8 @@ def passing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source") -> DataFrame:
     """The rows that ``judged`` keeps, as they came, whatever their other columns are called.
 
+    Null and empty texts have no words and fail. Rows without host are a host of their own.
+    Repeated rows and null ids are judged like any; an empty table stays empty.
     The measures are computed twice, for the counts and for the rows, instead of storing or
     shuffling the texts by id.
     """

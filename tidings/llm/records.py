@@ -25,7 +25,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -38,6 +38,9 @@ FILE_BYTES = 24 << 20
 CACHE_PIECES = 2_000_000
 CACHE_LONG = 100_000
 
+# Files in one group of the running sum over files.
+FILE_GROUP = 1024
+
 _HEAD, _SUM, _BODY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqBI")
 INDEX = (
     "file string, doc_id bigint, offset bigint, length bigint, before bigint, n_tokens bigint"
@@ -345,18 +348,26 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 def with_start(rows: DataFrame, folder: str) -> DataFrame:
     """Add ``start``, the tokens of all frames before, to rows with ``file`` and ``before``.
 
-    Across files the sums run over one row a file, the only thing that is broadcast.
+    Across files the sums run over one row a file, in groups of files and over the groups. Spark
+    chooses how the rows meet them.
     """
     files = read_index(rows.sparkSession, folder).groupBy("file").agg(F.sum("n_tokens").alias("_tokens"))
     number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
-    earlier = Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
-    bases = files.select("file", F.coalesce(F.sum("_tokens").over(earlier), F.lit(0)).alias("_base"))
-    return rows.join(F.broadcast(bases), "file").withColumn("start", F.col("_base") + F.col("before")).drop("_base")
+    numbered = files.select("file", "_tokens", number.alias("_number"), (number / FILE_GROUP).cast("int").alias("_group"))
+
+    def before(of: str, window: WindowSpec) -> Column:
+        return F.coalesce(F.sum(of).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = numbered.groupBy("_group").agg(F.sum("_tokens").alias("_sum"))
+    groups = groups.select("_group", before("_sum", Window.orderBy("_group")).alias("_earlier"))
+    inner = numbered.withColumn("_inner", before("_tokens", Window.partitionBy("_group").orderBy("_number")))
+    bases = inner.join(groups, "_group").select("file", (F.col("_earlier") + F.col("_inner")).alias("_base"))
+    return rows.join(bases, "file").withColumn("start", F.col("_base") + F.col("before")).drop("_base")
 
 
 def read_records(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
     """Every record read back with both checksums compared: ``file, doc_id, before, n_tokens``,
-    the CRC-32 of its tokens as unsigned 32-bit integers, and the tokens (null without ``ids``)."""
+    the CRC-32 of its tokens as unsigned 32-bit integers, and the tokens (null without ``ids``).
+    A folder of an empty table gives no rows; a broken record raises."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -379,7 +390,8 @@ def read_chosen(spark: SparkSession, folder: str, chosen: DataFrame) -> DataFram
     """The records of some index rows (``file, offset`` and any order column ``at``), by offset.
 
     For shuffled reading: order or sample the index, and read those frames only. Frames that are
-    not chosen are neither checked nor decoded. Rows come with ``at``, to be sorted by it.
+    not chosen are neither checked nor decoded. Rows come with ``at``, to be sorted by it. A row that
+    is chosen twice comes twice; other columns of ``chosen`` are not read; none chosen, no rows.
     """
     wanted = chosen.groupBy("file").agg(F.collect_list(F.struct("offset", "at")).alias("wanted"))
 

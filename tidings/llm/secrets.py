@@ -1,12 +1,15 @@
 """Spans of secrets in texts: fixed patterns, and values of credentials that are hard to guess.
 
 A value in a credential context is cut into words, dates, repeats, keyboard walks, sequences and
-brute-force spans so that the number of guesses is least; what stays hard is reported.
+brute-force spans so that the number of guesses is least; what stays hard is reported. The words are
+those of passwords and, behind them, the most frequent ones of the texts themselves, so that prose
+after a keyword is easy to guess in the language it is written in.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -16,11 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm import textops as t
+
 KINDS = ("assign", "access", "hex", "guess")
 # Powers of ten of the guesses from which a value counts as a secret.
 MIN_GUESSES = 10.0
-# The longest word, date or sequence looked for; repeats and brute force have no limit.
-LONGEST = 24
+# The longest word of the dictionary; repeats, walks, sequences and brute force have no limit.
+LONGEST = 32
+# Shorter values are no secrets, however they are made.
+SHORTEST_VALUE = 6
+# Words of the texts in the dictionary, the most frequent ones: a list that every task holds, at
+# most some 4 MB. A word beyond it costs what brute force does.
+CORPUS_WORDS = 100_000
+# A word of the texts is one that stands in this many documents at least.
+WORD_DOCUMENTS = 2
+# Distinct words that a counting task holds before it hands them on.
+HELD_WORDS = 300_000
 # Each segment after the first multiplies the guesses by this power of ten.
 SEGMENT = 0.5
 
@@ -147,7 +161,51 @@ def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str
 
 
 def word_ranks(words=COMMON_WORDS) -> dict[str, int]:
-    return {w: i for i, w in reversed(list(enumerate(words, 1))) if len(w) >= 3}
+    return {w: i for i, w in reversed(list(enumerate(words, 1))) if 3 <= len(w) <= LONGEST}
+
+
+# Letters a-z and all bytes from 128 stay, A-Z become a-z, the rest separates.
+_LETTERS = bytes(c if 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
+
+
+def _word_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many documents of the task have each word."""
+    counts: Counter = Counter()
+
+    def rows() -> pa.RecordBatch:
+        words = [w for w in counts if len(w) <= 4 * LONGEST]
+        columns = [pa.array([w.decode().lower() for w in words]), pa.array([counts[w] for w in words], pa.int64())]
+        columns[0] = columns[0].cast(pa.string())
+        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
+    for batch in batches:
+        for _, data, offsets in t.slabs(batch.column(0)):
+            lowered = data.tobytes().translate(_LETTERS)
+            for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                counts.update(set(lowered[start:end].split()))
+                if len(counts) > HELD_WORDS:
+                    yield rows()
+                    counts.clear()
+    yield rows()
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int = CORPUS_WORDS,
+                 least_documents: int = WORD_DOCUMENTS) -> list[str]:
+    """The words of letters that most documents have, by their number, then by word; at most ``most``.
+
+    Counted over all whole texts, within the tasks and then once by word, lower-cased; a document
+    counts once for each way it capitalises letters beyond A-Z. Each task of the last step keeps
+    ``most`` words. Null texts have none, repeated rows count each time. Runs a job.
+    """
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_documents, "word string, n bigint")
+    sums = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    wanted = sums.where((F.col("n") >= least_documents) & F.char_length("word").between(3, LONGEST))
+    return [r.word for r in wanted.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def dictionary(docs: DataFrame, text_col: str = "text", words=COMMON_WORDS) -> dict[str, int]:
+    """Ranks of the given words, then of the words of the texts."""
+    return word_ranks([*words, *corpus_words(docs, text_col)])
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -173,7 +231,7 @@ def guess_spans(text: str, ranks: dict[str, int], least: float = MIN_GUESSES) ->
             if m:
                 at = m.end()
                 value = m[m.lastindex]
-                if len(value) >= 6 and guess_cost(value, ranks)[0] >= least:
+                if len(value) >= SHORTEST_VALUE and guess_cost(value, ranks)[0] >= least:
                     found.append((*m.span(m.lastindex), "guess"))
     return found
 
@@ -207,10 +265,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Positions count code points, ends are exclusive; ``spans`` are ordered by start, then kind.
     ``base_sha256`` is over the spans of the fixed patterns only. A null or empty text has none.
-    Rows are independent, so repeated rows and null ids stay as they are, and nothing is
-    shuffled; other columns are not read.
+    Values of credential contexts with fewer than ``SHORTEST_VALUE`` characters are not looked at,
+    and words of more than ``LONGEST`` are no part of the dictionary, which is made of ``words``
+    and the ``CORPUS_WORDS`` most frequent words of the texts (a job of its own). Repeated rows and
+    null ids stay as they are, texts are not shuffled, an empty table gives no rows; other columns
+    are not read.
     """
-    ranks = word_ranks(words)
+    ranks = dictionary(docs, text_col, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,8 +296,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def redact(docs: DataFrame, text_col: str = "text", least: float = MIN_GUESSES,
            words=COMMON_WORDS, mark: str = "[SECRET]") -> DataFrame:
-    """The rows as they came, secrets in ``text_col`` replaced by ``mark``; a null text stays null."""
-    ranks, at = word_ranks(words), docs.columns.index(text_col)
+    """The rows as they came, what ``find`` reports in ``text_col`` replaced by ``mark``.
+
+    A null text stays null, an empty table stays empty, repeated rows stay repeated.
+    """
+    ranks, at = dictionary(docs, text_col, words), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

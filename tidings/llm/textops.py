@@ -27,15 +27,12 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-# Fixed odd multipliers: the base of the word hash and one factor per place in a shingle.
+# Fixed odd multipliers: one for lengths and one for each place in a shingle.
 _BASE = 0x9E3779B97F4A7C15
 _PLACES = np.array(
     [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
      0xE7037ED1A0B428DB], np.uint64)
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -43,21 +40,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, kept for the usual slab."""
-    size = max(n, SLAB_BYTES) + 1
-    if size not in _powers:
-        steps = []
-        for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
-            step = np.full(size, factor, np.uint64)
-            step[0] = 1
-            steps.append(np.cumprod(step, dtype=np.uint64))
-        if size > SLAB_BYTES + 1:
-            return tuple(steps)
-        _powers[size] = tuple(steps)
-    return _powers[size]
-
-
 def slabs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, bytes, offsets)`` of consecutive rows; null counts as the empty text."""
     if column.null_count:
@@ -94,12 +76,19 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every word, from prefix sums of a polynomial modulo 2**64."""
-    powers, inverse = _base_powers(len(data))
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=prefix[1:])
-    value = (prefix[ends] - prefix[starts]) * inverse[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    """A 64-bit hash of every word: the sum of a mixed value for each byte and its place in the word.
+
+    The values are not related from place to place or byte to byte, so no family of words collides
+    by its structure, as it would in a polynomial modulo a power of two.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    letters = _LOWER[data[~_SPACE[data]]].astype(np.uint64)
+    sums = np.add.reduceat(mix(letters + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(256)), first)
+    return mix(sums + sizes.astype(np.uint64) * np.uint64(_BASE))
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
