@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidings.operators import mentions
 from tidings.plans import queries, tables
 from tidings.sources import archives, sinks
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def plan(df):
