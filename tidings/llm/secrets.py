@@ -102,47 +102,63 @@ def _word_cost(piece: str, ranks: dict[str, int]) -> float | None:
     return None if low not in ranks else cost + log10(ranks[low] + 1)
 
 
+def _run_option(starts: list[tuple[float, int]], cost: float, end: int, kind: str) -> list[tuple[float, str, int]]:
+    """The cheapest run of three or more characters that ends here, after a new start is noted.
+
+    A run costs what its start does and the logarithm of its length. A later start that costs no
+    more is always better; one that costs more by what it can save at most is never.
+    """
+    new = end - 1
+    if all(cost - c < log10((new + 3 - s) / 3) for c, s in starts):
+        while starts and starts[-1][0] >= cost:
+            starts.pop()
+        starts.append((cost, new))
+    found = [(c + log10(end - s), kind, s) for c, s in starts if end - s >= 3]
+    return [min(found)] if found else []
+
+
 def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
     """Least power of ten of the guesses for ``value``, and the segments that reach it.
 
-    ``best[i]`` is the least cost of the first ``i`` characters. Runs that go on (brute force,
-    repeats, walks, sequences) are kept as states, so the work is linear in the length of the
-    value; a repeat, walk or sequence is taken from where its run begins and may end anywhere.
+    ``best[i]`` is the least cost of the first ``i`` characters. Brute force and walks cost the same
+    for each further character, so the cheapest span that ends here is kept, of walks one for each
+    length up to the least. The cost of repeats and sequences grows with the logarithm of their
+    length: of their starts those are kept that some end may prefer, few in practice.
     """
     n = len(value)
     low, near = value.lower(), _neighbours()
     best: list[tuple[float, str, int]] = [(0.0, "", 0)]
-    brute = repeat = walk = step = None  # (cost so far, start) of the run that ends here
+    brute = None  # (cost so far, start) of the span that ends here
+    walks: list = [None] * 4  # of walks of 1, 2, 3 and more characters
+    repeats: list[tuple[float, int]] = []
+    steps: dict[int, list[tuple[float, int]]] = {1: [], -1: []}
     for end in range(1, n + 1):
         char = value[end - 1]
         open_cost = best[end - 1][0] + (SEGMENT if end > 1 else 0.0)
         size = _alphabet(char)
         # Brute force: one more character, or a new span.
-        go_on = (brute[0] + size, brute[1]) if brute else None
         fresh = (open_cost + size, end - 1)
-        brute = min(go_on, fresh) if go_on else fresh
+        brute = min((brute[0] + size, brute[1]), fresh) if brute else fresh
         options = [(brute[0], "brute", brute[1])]
         # Repeats of one character: the character and how often.
-        if repeat and value[end - 2] == char:
-            repeat = (repeat[0], repeat[1])
-        else:
-            repeat = (open_cost + size, end - 1)
-        if end - repeat[1] >= 3:
-            options.append((repeat[0] + log10(end - repeat[1]), "repeat", repeat[1]))
+        if end > 1 and value[end - 2] != char:
+            repeats = []
+        options += _run_option(repeats, open_cost + size, end, "repeat")
         # Keyboard walks: a start key, then about four directions a step.
-        if walk and low[end - 1] in near.get(low[end - 2], ()):
-            walk = (walk[0] + log10(4) / 2, walk[1])
+        if end > 1 and low[end - 1] in near.get(low[end - 2], ()):
+            further = [w and (w[0] + log10(4) / 2, w[1]) for w in walks]
+            longer = [w for w in further[2:] if w]
+            walks = [None, *further[:2], min(longer) if longer else None]
         else:
-            walk = (open_cost + log10(47), end - 1)
-        if end - walk[1] >= 4:
-            options.append((walk[0], "walk", walk[1]))
+            walks = [None] * 4
+        walks[0] = (open_cost + log10(47), end - 1)
+        if walks[3]:
+            options.append((walks[3][0], "walk", walks[3][1]))
         # Sequences of neighbouring characters, as in abcd or 4321.
-        if step and end > 1 and (d := ord(char) - ord(value[end - 2])) in (1, -1) and step[2] in (0, d):
-            step = (step[0], step[1], d)
-        else:
-            step = (open_cost + log10(20), end - 1, 0)
-        if end - step[1] >= 3:
-            options.append((step[0] + log10(end - step[1]), "sequence", step[1]))
+        for way, starts in steps.items():
+            if end > 1 and ord(char) - ord(value[end - 2]) != way:
+                starts.clear()
+            options += _run_option(starts, open_cost + log10(20), end, "sequence")
         for start in range(max(0, end - LONGEST), end - 2):
             piece = value[start:end]
             begin = best[start][0] + (SEGMENT if start else 0.0)
