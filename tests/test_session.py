@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -61,3 +64,17 @@ def test_a_dropped_table_leaves_nothing(spark):
     assert folder.exists()
     session.drop_staged(staged)
     assert not folder.exists()
+
+
+@pytest.mark.parametrize("missing", ["tidings.llm", "corpus_pipeline", "public_tokenizers", "sentencepiece"])
+def test_the_rest_works_without_the_training_data_operators(missing):
+    program = f"""
+import sys
+sys.modules[{missing!r}] = None
+import __spark_entry__ as entry
+from tidings.plans.queries import QUERIES
+from tidings.plans.oracles import ORACLES
+assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLES
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", program], cwd=root, check=True, capture_output=True)
