@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -17,10 +21,17 @@ from tidings.session import stage
 def test_registered():
     queries = entry.queries()
     assert queries["pipeline"] is pipeline.run
-    assert [sum(n.startswith(f"op{i}_") for n in queries) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in queries) for i in range(1, 14)] == [1] * 13
     assert len(pipeline.STAGES) == 5 and "pipeline" not in entry.oracle_sql()
 
 
+def test_a_broken_module_is_not_hidden():
+    program = "import sys\nsys.modules['tidings.llm.mixing'] = None\nimport __spark_entry__"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", program], cwd=root, capture_output=True, text=True)
+    assert done.returncode and "tidings.llm.mixing" in done.stderr
+
+
 def run_stages(spark, docs, sf_dir):
     out = [docs]
     for name, function in pipeline.STAGES:
