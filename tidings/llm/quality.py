@@ -134,8 +134,8 @@ def passing(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null and empty texts have no words and fail. Rows without host are a host of their own.
     Repeated rows and null ids are judged like any; an empty table stays empty.
-    The measures are computed twice, for the counts and for the rows, instead of storing or
-    shuffling the texts by id.
+    The rows are stored once with their measures, for the counts and for the verdicts; texts are
+    not shuffled.
     """
-    rows = measured(docs, id_col, text_col, host_col)
+    rows = stage(measured(docs, id_col, text_col, host_col), "measured")
     return _with_verdicts(rows).where("kept").select("doc.*")
