@@ -176,6 +176,14 @@ def _sum_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield result()
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training tokens and distinct words of each range."""
+    for batch in batches:
+        found = [struct.unpack("<qq", body) for body in batch.column(0).to_pylist()]
+        n, v = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["n", "v"])
+
+
 def _join_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of each chunk with the counts of their tokens and pairs, from rows ordered by chunk."""
     chunk, texts, words, counts = None, [], None, {WORDS: [], PAIRS: []}
@@ -319,8 +327,8 @@ def scored(docs: DataFrame, folds: int = FOLDS, held_fold: int = HELD_FOLD) -> D
         .mapInArrow(_sum_ranges, COUNTED), "counted")
     for kind in (WORDS, PAIRS):
         drop_path(spark, f"{packed.staged_path}/kind={kind}")
-    totals = [struct.unpack("<qq", r["body"]) for r in counted.where("chunk = -1").select("body").toLocalIterator()]
-    n, v = sum(x[0] for x in totals), sum(x[1] for x in totals)
+    sums = counted.where("chunk = -1").select("body").mapInArrow(_totals, "n bigint, v bigint")
+    n, v = (x or 0 for x in sums.agg(F.sum("n"), F.sum("v")).first())
 
     texts = packed.where(F.col("kind") == TEXTS).select("chunk", "kind", "part", "ids", "held", "sizes", "body")
     answers = counted.where("chunk >= 0").select(
