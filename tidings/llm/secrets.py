@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm import textops as t
+from tidings.operators.ranking import rank_rows
 
 KINDS = ("assign", "access", "hex", "guess")
 # Powers of ten of the guesses from which a value counts as a secret.
@@ -210,13 +211,14 @@ def corpus_words(docs: DataFrame, text_col: str = "text", most: int = CORPUS_WOR
     """The words of letters that most documents have, by their number, then by word; at most ``most``.
 
     Counted over all whole texts, within the tasks and then once by word, lower-cased; a document
-    counts once for each way it capitalises letters beyond A-Z. Each task of the last step keeps
-    ``most`` words. Null texts have none, repeated rows count each time. Runs a job.
+    counts once for each way it capitalises letters beyond A-Z. The words are ranked where they lie,
+    and only the ``most`` that are returned come to the driver. Null texts have none, repeated rows count each time. Runs a job.
     """
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_documents, "word string, n bigint")
     sums = counted.groupBy("word").agg(F.sum("n").alias("n"))
     wanted = sums.where((F.col("n") >= least_documents) & F.char_length("word").between(3, LONGEST))
-    return [r.word for r in wanted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    ranked = rank_rows(wanted, F.desc("n"), F.asc("word"), name="rank").where(F.col("rank") <= most)
+    return [r.word for r in sorted(ranked.select("rank", "word").collect())]
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words=COMMON_WORDS) -> dict[str, int]:
