@@ -21,6 +21,7 @@ SPACES = " \t\n\x0b\x0c\r"
 # Texts are taken in slabs of about this many bytes, which bounds the arrays of a task; a single
 # longer text is a slab of its own.
 SLAB_BYTES = 2 << 20
+HASHED_WORDS = 16_384
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -81,14 +82,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     The values are not related from place to place or byte to byte, so no family of words collides
     by its structure, as it would in a polynomial modulo a power of two.
     """
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    out = np.empty(len(starts), np.uint64)
     sizes = ends - starts
     first = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    letters = _LOWER[data[~_SPACE[data]]].astype(np.uint64)
-    sums = np.add.reduceat(mix(letters + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(256)), first)
-    return mix(sums + sizes.astype(np.uint64) * np.uint64(_BASE))
+    letters = _LOWER[data[~_SPACE[data]]]
+    # Some thousand words at a time, which bounds what is held for every byte.
+    for at in range(0, len(starts), HASHED_WORDS):
+        some = slice(at, at + HASHED_WORDS)
+        begin, local = first[at], first[some] - first[at]
+        stop = begin + local[-1] + sizes[some][-1]
+        place = np.arange(1, stop - begin + 1, dtype=np.uint64) - np.repeat(local, sizes[some]).astype(np.uint64)
+        out[some] = np.add.reduceat(mix(letters[begin:stop] + place * np.uint64(256)), local)
+    return mix(out + sizes.astype(np.uint64) * np.uint64(_BASE))
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
