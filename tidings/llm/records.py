@@ -35,7 +35,7 @@ from tidings.llm import textops as t
 FILE_BYTES = 24 << 20
 # Remembered pieces of a worker, short ones and long ones, which bound its memory (some 60 bytes a
 # short piece) and change no result.
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 800_000
 CACHE_LONG = 100_000
 
 # Files in one group of the running sum over files.
