@@ -15,6 +15,7 @@ from tidings.operators import scenes
 from tidings.operators.attributes import with_attributes
 from tidings.operators.cooccurrence import cooccurrence, cooccurrence_counts
 from tidings.plans import alltime
+from tidings.plans.queries import QUERIES
 from tidings.streaming import ledger
 
 # --- attributes -----------------------------------------------------------------------------------
@@ -101,6 +102,36 @@ def test_points_in_footprints(spark, cell):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("cell", [5.0, 360.0])
+def test_footprints_and_members_give_every_pair(spark, cell):
+    points = spark.createDataFrame(POINTS, "scene_id int, lon double, lat double").withColumnRenamed("scene_id", "point")
+    # One key with two footprints, rows that come twice, a null key.
+    shapes = SCENES + [("box", 10.0, 0.0, 20.0, 20.0), (None, 10.0, 0.0, 20.0, 10.0)]
+    table = spark.createDataFrame(shapes, "scene_id string, xmin double, ymin double, xmax double, ymax double")
+    got = scenes.footprints_of_points(points, table, ["point"], ["scene_id"], cell).collect()
+    pairs = [tuple(r)[2:4] + tuple(r)[5:] for r in got if r.part == "pair"]
+    assert len(pairs) == len(set(pairs))
+    expanded = Counter(
+        (p.point, s.scene_id) for x in pairs for p in got for s in got
+        if p.part == "point" and s.part == "scene" and (p.lon, p.lat) == x[:2] and tuple(s)[5:] == x[2:])
+    wanted = scenes.scenes_of_points(points, table, ["point"], ["scene_id"], cell)
+    assert expanded == Counter(map(tuple, wanted.collect()))
+
+
+def test_rows_of_points_and_scenes_grow_with_their_number(spark, tmp_path):
+    def rows(copies):
+        folder = f"{tmp_path}/{copies}"
+        spark.range(100 * copies).select(F.col("id").alias("c_custkey")).write.parquet(f"{folder}/customer.parquet")
+        number = F.col("id")
+        spark.range(648 * copies).select(
+            number.alias("event_id"), F.floor(number / 18).alias("user_id"), F.lit(0.5).alias("value"),
+            F.timestamp_seconds(number).alias("ts")).write.parquet(f"{folder}/events.parquet")
+        return QUERIES["scenes_of_points"](spark, folder).count()
+
+    # Each point of a tenth of a degree lies in four footprints at most.
+    assert rows(1) <= 100 * 5 + 648 and rows(40) <= 40 * (100 * 5 + 648)
+
+
 # --- all-time pairs by day ------------------------------------------------------------------------
 
 @pytest.fixture
