@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from collections import Counter
 
 import pytest
@@ -83,6 +84,13 @@ def test_counts_equal_brute_force(spark, tile, drop_empty):
     assert as_dict(got) == brute(lists, drop_empty)
 
 
+def test_tiles_are_dealt_to_tasks_that_are_not_merged(spark):
+    tasks = cooc.SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for options in ({}, {"directed": False, "self_pairs": False}):
+        plan = cooc.cooccurrence_counts(frame(spark, BASKETS), **options)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\(left.*, right.*, {tasks}\), REPARTITION_BY_NUM", plan)
+
+
 name = st.text(alphabet="ABé ,", max_size=3)
 basket = st.one_of(st.none(), st.lists(name, max_size=9).map(";".join))
 
