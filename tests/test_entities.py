@@ -216,6 +216,39 @@ def test_pairs_as_rows(spark):
     assert {(r.name_a, r.name_b): r.n for r in rows} == expected
 
 
+def test_parts_of_a_list_bound_the_arrays_of_pairs(spark):
+    entities.register_functions(spark)
+    text = ";".join(f"n{i % 700:03},{i}" for i in range(2000))
+    df = spark.createDataFrame([(text,), ("",), ("b;;a;b,1",), (None,)], "AllNames string")
+    rows = spark.sql("""
+        SELECT AllNames, parts, pairs, size(pairs) AS size FROM (
+            SELECT AllNames, parts, get_cooccurences(parts[0].list, element_at(parts, -1).list) AS pairs
+            FROM (SELECT AllNames, name_parts(AllNames) AS parts FROM {df}))""", df=df).collect()
+    assert len(rows[0].parts) == 11 and rows[0].size == 64 * 60
+    for row in rows[:3]:
+        runs = Counter(names_of(row.AllNames))
+        assert [x for p in row.parts for x in zip(p.list.split(";"), p.n)] == sorted(runs.items())
+        first, last = (row.parts[i].list.split(";") for i in (0, -1))
+        assert [tuple(p) for p in row.pairs] == list(itertools.product(first, last))
+    assert rows[3].parts is None and rows[3].pairs is None
+
+
+@pytest.mark.parametrize("query", ["cooc_sql_function"])
+def test_mirrors_are_not_shuffled(spark, tmp_path, query):
+    from tidings.plans.queries import QUERIES
+
+    words = [" ".join(f"N{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)) for n in (300, 300, 2, 1, 0)]
+    documents = spark.createDataFrame([(k, x) for k, x in enumerate(words)], "doc_id bigint, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES[query](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The mirror is added behind the last aggregation, and the lists are dealt to tasks of their own.
+    assert re.search(r"Generate explode\(both", plan) and "REPARTITION_BY_NUM" in plan
+    names = words[0].split()
+    expected = Counter(itertools.product(names, names)) + Counter(itertools.product(names, names)) + Counter(itertools.product(names[:2], names[:2]))
+    assert {(r.name_a, r.name_b): r["count"] for r in got.collect()} == expected
+
+
 def test_a_record_of_many_names_is_a_stream_of_rows(spark):
     from tidings.functions.pairs import register_pairs
 
