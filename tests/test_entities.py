@@ -216,6 +216,35 @@ def test_pairs_as_rows(spark):
     assert {(r.name_a, r.name_b): r.n for r in rows} == expected
 
 
+@pytest.mark.parametrize("waiting", [1, 10, 1_000_000])
+def test_half_of_the_pairs_adds_up_to_all(monkeypatch, waiting):
+    """What the table function gives with ``true``: no mirrors, copies counted, blocks of any size."""
+    from tidings.functions import pairs
+
+    monkeypatch.setattr(pairs, "WAITING_ROWS", waiting)
+    monkeypatch.setattr(pairs, "BLOCK_ROWS", min(waiting, 7))
+    half, got, expected = pairs.HalfPairs(), Counter(), Counter()
+    blocks = []
+    for copies, text in enumerate(EDGE + [";".join(f"n{i % 13},{i}" for i in range(40)), "é;a;é"], 1):
+        names = names_of(text)
+        blocks += half.add(Counter(names), copies)
+        for a, b in itertools.product(names, names):
+            expected[a, b] += copies
+    for block in blocks + ([half.taken()] if half.size else []):
+        for row in block.to_pylist():
+            got[row["name_a"], row["name_b"]] += row["n"]
+    assert got == {p: n for p, n in expected.items() if p[0] <= p[1]}
+
+
+def test_half_of_the_pairs_in_sql(spark):
+    from tidings.functions.pairs import register_pairs
+
+    register_pairs(spark)
+    spark.createDataFrame([("a,1;b,2;a,3", 2), ("b;a", 3), (None, 1), ("x", 1)], "names string, copies bigint").createOrReplaceTempView("copied")
+    rows = spark.sql("SELECT name_a, name_b, sum(n) AS n FROM name_pairs(TABLE(SELECT names, copies FROM copied), true) GROUP BY ALL").collect()
+    assert {(r.name_a, r.name_b): r.n for r in rows} == {("a", "a"): 11, ("a", "b"): 7, ("b", "b"): 5, ("x", "x"): 1}
+
+
 def test_parts_of_a_list_bound_the_arrays_of_pairs(spark):
     entities.register_functions(spark)
     text = ";".join(f"n{i % 700:03},{i}" for i in range(2000))
@@ -233,7 +262,7 @@ def test_parts_of_a_list_bound_the_arrays_of_pairs(spark):
     assert rows[3].parts is None and rows[3].pairs is None
 
 
-@pytest.mark.parametrize("query", ["cooc_sql_function"])
+@pytest.mark.parametrize("query", ["cooc_sql_function", "cooc_sql_pairs"])
 def test_mirrors_are_not_shuffled(spark, tmp_path, query):
     from tidings.plans.queries import QUERIES
 
