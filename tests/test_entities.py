@@ -262,7 +262,7 @@ def test_parts_of_a_list_bound_the_arrays_of_pairs(spark):
     assert rows[3].parts is None and rows[3].pairs is None
 
 
-@pytest.mark.parametrize("query", ["cooc_sql_function", "cooc_sql_pairs"])
+@pytest.mark.parametrize("query", ["cooc_sql_function", "cooc_sql_pairs", "cooc_sql_names"])
 def test_mirrors_are_not_shuffled(spark, tmp_path, query):
     from tidings.plans.queries import QUERIES
 
