@@ -7,6 +7,7 @@ import pytest
 
 from tests.llm import plain
 from tests.llm.conftest import SF_DIR, edge_rows
+from tidings import session
 from tidings.llm import components, neardup, queries
 
 
@@ -64,6 +65,32 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_rounds_end_with_stars_and_store_few_files(spark, monkeypatch):
+    stored = []
+
+    def stage(df, label):
+        out = session.stage(df, label)
+        stored.append((label, len(out.inputFiles())))
+        return out
+    monkeypatch.setattr(components, "stage", stage)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        stars = [(k % 40, 100 + k) for k in range(500)]
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(stars, "a bigint, b bigint")).collect()}
+        assert got == {k: k for k in range(40)} | {b: a for a, b in stars}
+        assert [label for label, _ in stored] == ["edges", "least"]
+        stored.clear()
+        chain = [(k, k + 1) for k in range(500)]
+        got = components.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()
+        assert {r.node: r.component for r in got} == dict.fromkeys(range(501), 0)
+        assert max(files for _, files in stored[1:]) <= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def check(rows, ids_texts, least):
     expected = plain.components(ids_texts, least)
     assert sorted(str((r.doc_id, r.n_shingles)) for r in rows) == sorted(
