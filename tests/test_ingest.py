@@ -98,6 +98,17 @@ def test_list_archives(spark, landed):
     assert [n for n, d in listed.items() if d == "other"] == ["20150220184500.unknown.zip"]
 
 
+def test_a_listing_passes_over_files_that_are_gone(spark, tmp_path):
+    for k in range(12):
+        zipped(f"{tmp_path}/landed", f"201502201830{k:02}.gkg.csv.zip", f"{gkg_line(f'r{k}')}\n")
+    listed = archives.list_archives(spark, f"{tmp_path}/landed")
+    for k in (0, 5, 11):
+        (tmp_path / "landed" / f"201502201830{k:02}.gkg.csv.zip").unlink()
+    assert listed.count() == 9
+    assert not {r.source_file[12:14] for r in listed.collect()} & {"00", "05", "11"}
+
+
+
 def test_typed_lines_and_files_agree(spark, tmp_path):
     lines = [
         gkg_line("r1", 'a "lone quote'), gkg_line("r2", "back\\slash;\\\"x"),
