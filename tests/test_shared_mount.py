@@ -18,6 +18,7 @@ def cluster(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("name", [
-    "cooc_weighted", "daily_report", "entity_rank", "event_mentions", "ingest_late_files", "stream_ingest"])
+    "cooc_weighted", "daily_report", "entity_rank", "event_mentions", "ingest_late_files", "stream_ingest",
+    "typed_files"])
 def test_a_mount_serves_the_query(cluster, name):
     assert QUERIES[name](cluster, SF_DIR).count() > 0
