@@ -18,8 +18,8 @@ def cluster(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("name", [
-    "backfill_files", "cooc_weighted", "daily_report", "day_slice", "entity_rank", "event_mentions", "flat_files",
-    "ingest_late_files", "quarantine_rows", "rank_values", "replaced_bytes", "stored_json", "stream_ingest",
-    "typed_files"])
+    "backfill_files", "cooc_weighted", "daily_report", "day_slice", "entity_rank", "event_mentions", "flat_day",
+    "flat_files", "ingest_late_files", "quarantine_rows", "rank_values", "replaced_bytes", "stored_json",
+    "stream_ingest", "typed_files"])
 def test_a_mount_serves_the_query(cluster, name):
     assert QUERIES[name](cluster, SF_DIR).count() > 0
