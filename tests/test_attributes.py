@@ -14,7 +14,7 @@ from tests.test_ingest import gkg_line, zipped
 from tidings.operators import scenes
 from tidings.operators.attributes import with_attributes
 from tidings.operators.cooccurrence import cooccurrence, cooccurrence_counts
-from tidings.plans import alltime
+from tidings.plans import alltime, tables
 from tidings.plans.queries import QUERIES
 from tidings.streaming import ledger
 
@@ -126,12 +126,45 @@ def test_rows_of_points_and_scenes_grow_with_their_number(spark, tmp_path):
         spark.range(648 * copies).select(
             number.alias("event_id"), F.floor(number / 18).alias("user_id"), F.lit(0.5).alias("value"),
             F.timestamp_seconds(number).alias("ts")).write.parquet(f"{folder}/events.parquet")
-        return QUERIES["scenes_of_points"](spark, folder).count()
+        return scenes.footprints_of_points(
+            tables.points(spark, folder), tables.scenes_over_date_line(spark, folder), ["point_id"], ["scene_id"]).count()
 
     # Each point of a tenth of a degree lies in four footprints at most.
     assert rows(1) <= 100 * 5 + 648 and rows(40) <= 40 * (100 * 5 + 648)
 
 
+def test_query_has_a_row_for_each_point_and_scene(spark, tmp_path):
+    keys, events = [*range(0, 3000, 7), 7, None], [(n, n * 5 % 36) for n in range(400)] * 2 + [(None, 3), (8, None)]
+    rows = [(k,) for k in keys]
+    spark.createDataFrame(rows, "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(events, "event_id bigint, user_id bigint").select(
+        "*", F.lit(0.5).alias("value"), F.timestamp_seconds(F.lit(0)).alias("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    points = [(k, k * 7919 % 3601 / 10 - 180, k * 104729 % 1801 / 10 - 90) for k in keys if k is not None]
+    wanted = Counter(
+        (k, e) for e, u in events if None not in (e, u) for k, lon, lat in points
+        if e % 18 * 10 - 90 <= lat <= e % 18 * 10 - 80 and (
+            u * 10 % 360 - 175 <= lon <= u * 10 % 360 - 165 or u % 36 == 35 and (lon >= 175 or lon <= -175)))
+    got = QUERIES["scenes_of_points"](spark, str(tmp_path))
+    assert got.columns == ["point_id", "scene_id"]
+    assert Counter(map(tuple, got.collect())) == wanted
+
+
+def test_rows_of_points_and_scenes_take_little_room(spark, tmp_path):
+    # 500 points and 4,000 scenes of one cell: two million rows.
+    at = F.col("id") % 50 / 10.0
+    points = spark.range(500).select(F.col("id").alias("point"), at.alias("lon"), at.alias("lat"))
+    table = spark.range(4000).select(
+        F.col("id").alias("scene"), F.lit(-1.0).alias("xmin"), F.lit(-1.0).alias("ymin"), F.lit(9.0).alias("xmax"),
+        F.lit(9.0).alias("ymax"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scenes.scenes_of_points(points, table, ["point"], ["scene"]).write.parquet(f"{tmp_path}/out")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    size = sum(f.stat().st_size for f in tmp_path.glob("out/*.parquet"))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2_000_000 and size < 600_000
+
+
 # --- all-time pairs by day ------------------------------------------------------------------------
 
 @pytest.fixture
