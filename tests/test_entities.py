@@ -155,6 +155,18 @@ def test_rank_equals_global_window(spark, partitions, adaptive):
             spark.conf.set(key, value)
 
 
+def test_rank_over_several_files_a_task(spark):
+    df = spark.range(0, 500, 1, 5).select((F.col("id") * 7919 % 500).alias("key"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        got = ranking.rank_rows(df, F.asc("key"), total_of="key")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted(map(tuple, got.select("key", "rn", "total").collect())) == [(i, i + 1, 124_750) for i in range(500)]
+    # The stored rows have no column of numbers.
+    assert spark.read.parquet(got.staged_path).columns == ["key"]
+
+
 SHUFFLE, ADAPTIVE = "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"
 
 

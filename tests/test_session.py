@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidings import session
+from tidings.operators.ranking import rank_rows
 
 
 class Settings:
@@ -100,3 +103,29 @@ assert entry.queries() == QUERIES and entry.oracle_sql() == ORACLES
 """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", program], cwd=root, check=True, capture_output=True)
+
+
+def shuffle_files(spark):
+    names = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",")
+    return {x.rsplit("/", 1)[1] for x in names if "/shuffle_" in x}
+
+
+def no_more_than(spark, before):
+    """Whether all newer shuffle files go; they are removed in the background."""
+    for _ in range(20):
+        if shuffle_files(spark) <= before:
+            return True
+        time.sleep(0.25)
+    return False
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(session._CLEANUP)
+    table = session.stage(spark.range(1000).groupBy(F.col("id") % 7).count(), "few")
+    assert no_more_than(spark, before)
+    rows = rank_rows(spark.range(1000), F.desc("id"), name="place")
+    assert no_more_than(spark, before) and spark.conf.get(session._CLEANUP) == setting
+    assert table.count() == 7 and rows.where("id + place = 1000").count() == 1000
+    with pytest.raises(ZeroDivisionError), session.shuffles_dropped(spark):
+        assert spark.conf.get(session._CLEANUP) == "true" and 1 // 0
+    assert spark.conf.get(session._CLEANUP) == setting
