@@ -8,8 +8,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_session import no_more_than, shuffle_files
 from tidings.operators import events
 from tidings.operators.events import EVENT_KEY, events_with_mentions
+from tidings.sources import bucketed
 from tidings.sources.bucketed import write_bucketed
 
 EVENTS = [(i, 20240100 + i % 5, f"c{i}") for i in range(40)] + [(7, 20240102, "twice"), (None, 20240101, "none")]
@@ -86,3 +88,20 @@ def test_heavy_mentions_are_dealt_over_keys(stored):
     rows = stored[1].heavy().groupBy(EVENT_KEY).count().collect()
     assert {(r[0], r["count"]) for r in rows} == {(8, 501), (9, 60)}
     assert stored[1].rows().where("GLOBALEVENTID IN (8, 9)").count() == 0
+
+
+@pytest.mark.parametrize("cells", [50, 1000])
+def test_large_tables_are_written_some_buckets_at_a_time(spark, tmp_path, stored, monkeypatch, cells):
+    monkeypatch.setattr(bucketed, "PASS_CELLS", cells)
+    before = shuffle_files(spark)
+    parts = (store(spark, tmp_path, EVENTS, "GLOBALEVENTID bigint, ds int, EventCode string"),
+             store(spark, tmp_path, MENTIONS, "GLOBALEVENTID bigint, ds int, Name string"))
+    assert no_more_than(spark, before)
+    for one, part in zip(stored, parts):
+        for rows in ("rows", "heavy"):
+            assert Counter(map(tuple, getattr(one, rows)().collect())) == Counter(map(tuple, getattr(part, rows)().collect()))
+        # As many files as in one pass: a pass has whole buckets.
+        files = [set(r[0].rsplit("_", 1)[1] for r in x.rows().select("_metadata.file_name").distinct().collect()) for x in (one, part)]
+        assert files[0] == files[1]
+    got = events_with_mentions(*parts, ["EventCode"], ["Name"], heavy_rows=20)
+    assert Counter(map(tuple, got.collect())) == plain()

@@ -7,6 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.session import drop_staged, shuffles_dropped, stage
+
+# Cells (rows times columns) that are shuffled at a time: some 8 bytes each, and a row up to twice.
+PASS_CELLS = 100_000_000
 # Rows of one key that stay in the buckets; more are stored apart.
 HEAVY_ROWS = 1_000_000
 
@@ -45,16 +49,28 @@ def write_bucketed(
     Rows whose key has more than ``heavy_rows`` rows go to plain files by day, where any number of
     tasks can read them: a bucket is read by one task. Keys are counted within the tasks first, and
     only heavy ones are joined back, of which there are at most one in ``heavy_rows`` rows. Rows
-    without a key are stored in the buckets. ``df`` is read twice, so it should be stored itself.
+    without a key are stored in the buckets. Large tables are written some buckets at a time, and
+    what was shuffled for these is dropped before the next. ``df`` is read again for each, so it
+    should be stored itself.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
     often = df.groupBy(key).count().where(F.col("count") > heavy_rows).where(F.col(key).isNotNull()).select(key)
+    # Stored, its size is known, and rows need no shuffle to meet a few keys.
+    often = stage(often, "often")
     columns = [c for c in df.columns if c != "ds"] + ["ds"]
-    # The hint deals rows as the buckets do and gathers or splits by size.
-    light = df.join(often, key, "left_anti").select(*columns).hint("rebalance", buckets, key)
-    light.write.bucketBy(buckets, key).option("compression", compression).option(
-        "path", f"{path}/buckets").partitionBy("ds").saveAsTable(table)
-    heavy = df.join(often, key, "left_semi").select(*columns).hint("rebalance", "ds")
-    heavy.write.option("compression", compression).partitionBy("ds").parquet(f"{path}/heavy")
+    with shuffles_dropped(spark):
+        passes = max(1, min(buckets, -(-df.count() * len(columns) // PASS_CELLS)))
+    for number in range(passes):
+        # The number of the row's bucket decides, so each bucket is written by one pass.
+        some = df.where(F.pmod(F.hash(key), F.lit(buckets)) % passes == number) if passes > 1 else df
+        # The hint deals rows as the buckets do and gathers or splits by size.
+        light = some.join(often, key, "left_anti").select(*columns).hint("rebalance", buckets, key)
+        heavy = some.join(often, key, "left_semi").select(*columns).hint("rebalance", "ds")
+        mode = "append" if number else "error"
+        with shuffles_dropped(spark):
+            light.write.mode(mode).bucketBy(buckets, key).option("compression", compression).option(
+                "path", f"{path}/buckets").partitionBy("ds").saveAsTable(table)
+            heavy.write.mode(mode).option("compression", compression).partitionBy("ds").parquet(f"{path}/heavy")
+    drop_staged(often)
     return Bucketed(spark, table, f"{path}/heavy", key)
