@@ -10,6 +10,7 @@ import subprocess
 import sys
 import time
 import zipfile
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -17,9 +18,11 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tests.test_session import no_more_than, shuffle_files
 from tidings.operators import files as file_ops
-from tidings.plans.daily import run_daily
+from tidings.plans.daily import analyse, run_daily
 from tidings.schemas import schema_of
+from tidings.session import new_path
 from tidings.sources import archives, datasets, sinks
 from tidings.sources import flat as flat_files
 from tidings.streaming.ingest import start_ingest
@@ -412,6 +415,21 @@ def test_run_daily(spark, landed, tmp_path):
     assert sorted(os.listdir(f"{tmp_path}/out")) == sorted(folders)
 
 
+def test_analyse_leaves_results_only(spark, tmp_path):
+    rows = [("A,1;B,2", "X;Y", "P", "O;O"), ("A,1;B,2;A,3", "X;", None, None), (None, None, None, None)]
+    records = spark.createDataFrame(rows, "AllNames string, Themes string, Persons string, Organizations string")
+    folder = os.path.dirname(new_path(spark, "x")).removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    before, shuffled = set(os.listdir(folder)), shuffle_files(spark)
+    stored = analyse(records, f"{tmp_path}/out", run_ts="t1")
+    assert set(os.listdir(folder)) <= before and no_more_than(spark, shuffled)
+    assert list(stored) == ["cooccurences", "themes", "people", "organizations"]
+    assert [tuple(r)[1:4] for r in stored["cooccurences"].orderBy("rn").collect()] == [
+        ("A", "A", 5), ("A", "B", 3), ("B", "A", 3), ("B", "B", 2)]
+    assert Counter(map(tuple, stored["themes"].collect())) == {("X", 2): 1, ("Y", 1): 1}
+    assert list(map(tuple, stored["organizations"].collect())) == [("O", 2)]
+
+
 def test_archive_bytes_are_read_in_place():
     data = io.BytesIO()
     with zipfile.ZipFile(data, "w") as archive:
