@@ -155,6 +155,21 @@ def test_rank_equals_global_window(spark, partitions, adaptive):
             spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("directed, self_pairs, drop_empty", [(True, True, False), (False, False, True), (False, True, True)])
+@pytest.mark.parametrize("a_pass", [7, 40])
+def test_pairs_counted_in_passes(spark, monkeypatch, a_pass, directed, self_pairs, drop_empty):
+    lists = ["B,1;A,2;B,3", "A;A;;C", "B,1;A,2;B,3", None, "alone", ";", ";".join(f"n{i % 13}" for i in range(40))]
+    df = spark.createDataFrame([(x,) for x in lists], "AllNames string")
+    options = {"self_pairs": self_pairs, "drop_empty": drop_empty, "tile": 5}
+    wanted = cooc.cooccurrence_counts(df, directed=directed, **options).collect()
+    passes, count = [], cooc._counted
+    monkeypatch.setattr(cooc, "_counted", lambda *a, **k: passes.append(1) or count(*a, **k))
+    monkeypatch.setattr(cooc, "PASS_PAIRS", a_pass)
+    got = cooc.cooccurrence(df, directed=directed, **options).collect()
+    assert len(passes) > 2
+    assert {(r.name_a, r.name_b, r["count"]) for r in got} == set(map(tuple, wanted)) and len(got) == len(wanted)
+
+
 def test_rank_over_several_files_a_task(spark):
     df = spark.range(0, 500, 1, 5).select((F.col("id") * 7919 % 500).alias("key"))
     spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
